@@ -387,8 +387,8 @@ def _(t):
     return W.index_merge(r.filter("value < 10").drop("value"), r.filter("value >= 10").drop("value"))
 
 
-@query("alive_objects", """with l as (select user_id as dataset_id, 'obj' || cast(event_id % 3 as varchar) as name, case when event_type = 'error' then 'retire' else 'register' end as action, event_id as at, props as shape from events)
- select dataset_id, name, arg_max(shape, at) filter (where action = 'register') as shape, max(at) as at from l group by 1, 2 having arg_max(action, at) = 'register'""")
+@query("alive_objects", """with l as (select user_id as dataset_id, 'obj' || cast(event_id % 3 as varchar) as name, case when event_type = 'error' then 'retire' else 'register' end as action, event_id as seen, props as shape from events)
+ select dataset_id, name, arg_max(shape, seen) filter (where action = 'register') as shape, max(seen) as "at" from l group by 1, 2 having arg_max(action, seen) = 'register'""")
 def _(t):
     log = t.events.select(F.col("user_id").alias("dataset_id"), F.concat(F.lit("obj"), (F.col("event_id") % 3).cast("string")).alias("name"),
                           F.when(F.col("event_type") == "error", "retire").otherwise("register").alias("action"), F.col("event_id").alias("at"), F.col("props").alias("shape"))
