@@ -16,7 +16,7 @@ from ..functions.exprs import clean_double, col, numeric_columns, one, rnd
 from ..functions.frames import unpivot_numeric, unpivot_text
 from .features import levels_of, standardise
 from .profile import distinct_counts
-from .stats import anova_test, regime_tests
+from .stats import anova_test, matrix, regime_tests
 
 # Name parts of columns which are no cluster features.
 NOT_FEATURES = ["_id", "_flag", "is_outlier", "index"]
@@ -84,6 +84,16 @@ def vectors(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFram
 
 # Mixtures
 
+def _one_component(df: DataFrame, cols: Sequence[str], n: int) -> float:
+    """Log-likelihood of the single Gaussian, from the covariance matrix."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(cols)) for j in range(i, len(cols))])
+    v = F.array(*[F.coalesce(clean_double(col(c)), F.lit(0.0)) for c in cols])
+    fan = df.select(v.alias("v"), F.explode(pairs).alias("p")).select("p.i", "p.j", "v")
+    cov = matrix(fan.groupBy("i", "j").agg(F.covar_pop(F.col("v")[F.col("i")], F.col("v")[F.col("j")]).alias("c")), len(cols), "c")
+    _, logdet = np.linalg.slogdet(cov + 1e-6 * np.eye(len(cols)))
+    return float(-0.5 * n * (len(cols) * (math.log(2 * math.pi) + 1) + logdet))
+
+
 def _fit_mixture(data: DataFrame, k: int):
     return GaussianMixture(k=k, seed=42, maxIter=100, tol=1e-3).fit(data)
 
@@ -110,7 +120,7 @@ def cluster_count_scan(df: DataFrame, cols: Sequence[str], max_k: int = 8) -> Da
     if n == 0:
         return df.sparkSession.createDataFrame([], "n_clusters int, bic double, aic double")
     for k in range(1, max_k + 1):
-        ll = _fit_mixture(data, k).summary.logLikelihood
+        ll = _one_component(df, cols, n) if k == 1 else _fit_mixture(data, k).summary.logLikelihood
         rows.append((k, *information_criteria(ll, n, len(cols), k)))
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "n_clusters int, bic double, aic double")
