@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .exprs import clean_double, col
@@ -226,28 +227,72 @@ def quantiles_of(df: DataFrame, value: str, probs: Sequence[float], one_pass: bo
     return found.agg(F.first("q").alias("q")).scalar()
 
 
-def order_buckets(df: DataFrame, order: Column, one_pass: bool | None = None) -> Column:
-    """Bucket number rising with ``order``, split at sketch quantiles.
+def _lead_number(df: DataFrame, name: str) -> Column | None:
+    """Order-preserving double of a numeric or time column, null lowest."""
+    kind, c = df.schema[name].dataType, col(name)
+    if isinstance(kind, T.TimestampNTZType):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.TimestampType):
+        c = F.unix_micros(c)
+    elif isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    elif not isinstance(kind, T.NumericType):
+        return None
+    return F.coalesce(c.cast("double"), F.lit(float("-inf")))
+
+
+def _splits(df: DataFrame, value: Column, count: int, by: Sequence[Column] = ()) -> list:
+    probs = F.array(*[F.lit(i / count) for i in range(1, count)])
+    sketch = F.approx_percentile(value, probs, F.lit(SKETCH_ACCURACY)).alias("s")
+    return (df.groupBy(*by) if by else df).agg(sketch).collect()
+
 
-    The split points (at most ``BUCKETS`` numbers) become literals of the
-    plan, so a recomputed task always lands a row in the same bucket.
+def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add (__b, __s): a bucket that rises along ``order``.
+
+    Buckets are cut at sketch quantiles of the first order column. A value
+    which alone fills several buckets is cut again along the second one. The
+    cuts (a bounded list of numbers) become literals, so a task that is run
+    again puts its rows into the same buckets.
     """
-    if one_pass is None:
-        one_pass = fits_one_pass(df)
-    if one_pass:
-        return F.lit(0)
-    probs = [i / BUCKETS for i in range(1, BUCKETS)]
-    got = df.select(
-        F.approx_percentile(
-            order.cast("double"), F.array(*[F.lit(p) for p in probs]), F.lit(SKETCH_ACCURACY)
-        ).alias("s")
-    ).first()["s"]
-    splits = sorted(set(got or []))
-    if not splits:
-        return F.lit(0)
-    arr = F.array(*[F.lit(s) for s in splits])
-    # Sorted literal array: size of the prefix not above the value.
-    return F.size(F.filter(arr, lambda s: s <= order.cast("double")))
+    lead = _lead_number(df, order[0])
+    if lead is None:
+        return df.select("*", F.lit(0).alias("__b"), F.lit(0).alias("__s"))
+    found = [x for x in (_splits(df, lead, BUCKETS)[0]["s"] or []) if x is not None and x != float("-inf")]
+    cuts = sorted(set(found))
+    b = df.select("*", lead.alias("__lead"))
+    if cuts:
+        bucketizer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__lead", outputCol="__b")
+        b = bucketizer.transform(b).withColumn("__b", F.col("__b").cast("int"))
+    else:
+        b = b.withColumn("__b", F.lit(0))
+    heavy = [x for x in cuts if found.count(x) > 1]
+    second = _lead_number(df, order[1]) if len(order) > 1 else None
+    sub = F.lit(0)
+    if heavy and second is not None:
+        mine = df.filter(lead.isin(heavy))
+        for r in _splits(mine, second, 64, [lead.alias("__v")]):
+            steps = sum((F.when(second >= x, 1).otherwise(0) for x in sorted(set(r["s"] or []))), F.lit(0))
+            # The heavy value opens its bucket; larger values follow it.
+            sub = F.when(F.col("__lead") == r["__v"], steps).when(
+                (F.col("__lead") > r["__v"]) & (F.col("__b") == cuts.index(r["__v"]) + 1), 10_000).otherwise(sub)
+    return b.select("*", sub.alias("__s")).drop("__lead")
+
+
+def _with_offsets(b: DataFrame, by: list[str], sums: dict[str, Column], sign: int = 1) -> DataFrame:
+    """Join to every row the totals of the buckets before its own."""
+    totals = b.groupBy(*by, "__b", "__s").agg(*[F.sum(e).alias(f"__t_{o}") for o, e in sums.items()])
+    place = [F.col("__b") * sign, F.col("__s") * sign]
+    before = Window.partitionBy(*by, F.lit(1)).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    off = totals.select(
+        *[col(k).alias(f"__k_{k}") for k in by], F.col("__b").alias("__kb"), F.col("__s").alias("__ks"),
+        *[F.coalesce(F.sum(f"__t_{o}").over(before), F.lit(0)).alias(f"__o_{o}") for o in sums],
+    )
+    # Null-safe on the group keys so that a null group keeps its rows.
+    cond = (b["__b"] == off["__kb"]) & (b["__s"] == off["__ks"])
+    for k in by:
+        cond = cond & b[k].eqNullSafe(off[f"__k_{k}"])
+    return b.join(off, cond)
 
 
 def running_totals(
@@ -265,60 +310,40 @@ def running_totals(
     as many tasks as there are buckets. (by, order) must be unique.
     """
     by = list(by)
-    bucket = order_buckets(df.select(col(order)), col(order), one_pass)
-    sign = -1 if descending else 1
-    b = df.withColumn("__b", bucket * sign)
-    totals = b.groupBy(*by, "__b").agg(*[F.sum(col(i)).alias(f"__t_{o}") for o, i in sums.items()])
-    before = Window.partitionBy(*by, F.lit(1)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[col(k) for k in by], "__b",
-        *[F.coalesce(F.sum(f"__t_{o}").over(before), F.lit(0)).alias(f"__o_{o}") for o in sums],
-    )
-    # Null-safe on the group keys so that a null group keeps its rows.
-    cond = F.lit(True)
-    off = offsets.select(*[col(k).alias(f"__k_{k}") for k in by], F.col("__b").alias("__kb"), *[f"__o_{o}" for o in sums])
-    cond = b["__b"] == off["__kb"]
-    for k in by:
-        cond = cond & b[k].eqNullSafe(off[f"__k_{k}"])
-    joined = b.join(off, cond)
     key = col(order).desc() if descending else col(order).asc()
-    inner = Window.partitionBy(*by, "__b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.select(
+    if one_pass is None:
+        one_pass = fits_one_pass(df)
+    if one_pass:
+        whole = Window.partitionBy(*by, F.lit(1)).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(col(i)).over(whole).alias(o) for o, i in sums.items()])
+    b = _placed(df, [order])
+    joined = _with_offsets(b, by, {o: col(i) for o, i in sums.items()}, -1 if descending else 1)
+    inner = Window.partitionBy(*by, "__b", "__s").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    return joined.select(
         *[col(c) for c in df.columns],
         *[(F.sum(col(i)).over(inner) + F.col(f"__o_{o}")).alias(o) for o, i in sums.items()],
     )
-    return out
 
 
 def row_index(
     df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "row_index",
     one_pass: bool | None = None,
 ) -> DataFrame:
-    """1-based row number per group along ``order`` (whose first column is
-    numeric or a time), computed bucket by bucket; ties need a full order."""
+    """1-based row number per group along ``order``, bucket by bucket. The
+    order must be total; its first column has to be numeric or a time for
+    the work to be spread. Small input takes one plain window."""
     by = list(by)
-    first = df.schema[order[0]].dataType
-    lead = col(order[0])
-    if isinstance(first, T.TimestampNTZType):
-        lead = F.unix_micros(lead.cast("timestamp"))
-    elif isinstance(first, T.TimestampType):
-        lead = F.unix_micros(lead)
-    elif isinstance(first, T.DateType):
-        lead = F.unix_date(lead)
-    b = df.withColumn("__b", order_buckets(df, lead, one_pass))
-    totals = b.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__m"))
-    before = Window.partitionBy(*by, F.lit(1)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    off = totals.select(
-        *[col(k).alias(f"__k_{k}") for k in by], F.col("__b").alias("__kb"),
-        F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__o"),
-    )
-    cond = b["__b"] == off["__kb"]
-    for k in by:
-        cond = cond & b[k].eqNullSafe(off[f"__k_{k}"])
-    inner = Window.partitionBy(*by, "__b").orderBy(*[col(o) for o in order])
-    return b.join(off, cond).select(
+    if one_pass is None:
+        one_pass = fits_one_pass(df)
+    if one_pass:
+        whole = Window.partitionBy(*by, F.lit(1)).orderBy(*[col(o) for o in order])
+        return df.select("*", F.row_number().over(whole).cast("bigint").alias(name))
+    b = _placed(df, order)
+    joined = _with_offsets(b, by, {"n": F.lit(1)})
+    inner = Window.partitionBy(*by, "__b", "__s").orderBy(*[col(o) for o in order])
+    return joined.select(
         *[col(c) for c in df.columns],
-        (F.row_number().over(inner) + F.col("__o")).cast("bigint").alias(name),
+        (F.row_number().over(inner) + F.col("__o_n")).cast("bigint").alias(name),
     )
 
 

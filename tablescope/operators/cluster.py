@@ -94,15 +94,16 @@ def _one_component(df: DataFrame, cols: Sequence[str], n: int) -> float:
     return float(-0.5 * n * (len(cols) * (math.log(2 * math.pi) + 1) + logdet))
 
 
-def _fit_mixture(data: DataFrame, k: int):
-    return GaussianMixture(k=k, seed=42, maxIter=100, tol=1e-3).fit(data)
+def _fit_mixture(data: DataFrame, k: int, n: int):
+    # The tolerance is per row; Spark compares the log-likelihood of all rows.
+    return GaussianMixture(k=k, seed=42, maxIter=100, tol=1e-3 * max(n, 1)).fit(data)
 
 
 def gmm_labels(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> DataFrame:
     """Mixture labels: id, cluster."""
     data = vectors(df, cols, [id_col]).persist()
     try:
-        model = _fit_mixture(data, k)
+        model = _fit_mixture(data, k, data.count())
     finally:
         data.unpersist()
     return model.transform(data).select(id_col, F.col("prediction").alias("cluster"))
@@ -120,7 +121,7 @@ def cluster_count_scan(df: DataFrame, cols: Sequence[str], max_k: int = 8) -> Da
     if n == 0:
         return df.sparkSession.createDataFrame([], "n_clusters int, bic double, aic double")
     for k in range(1, max_k + 1):
-        ll = _one_component(df, cols, n) if k == 1 else _fit_mixture(data, k).summary.logLikelihood
+        ll = _one_component(df, cols, n) if k == 1 else _fit_mixture(data, k, n).summary.logLikelihood
         rows.append((k, *information_criteria(ll, n, len(cols), k)))
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "n_clusters int, bic double, aic double")
@@ -181,7 +182,7 @@ def silhouette_scan(df: DataFrame, id_col: str, cols: Sequence[str], max_k: int
     data = vectors(z, cols, [id_col]).persist()
     n, rows = data.count(), []
     for k in range(2, max_k + 1):
-        model = _fit_mixture(data, k)
+        model = _fit_mixture(data, k, n)
         bic, aic = information_criteria(model.summary.logLikelihood, n, len(cols), k)
         labels = model.transform(data).select(id_col, F.col("prediction").alias("__c"))
         s = silhouette(z.join(labels, id_col), id_col, cols, "__c").first()["silhouette"]

@@ -297,3 +297,29 @@ PLAN = """select case when doc_id % 10 = 0 then 'local_' else 's' end || cast(do
   case when nf and est > 524288000 then 'too_large_to_download: estimated ' || format('{{:.0f}}', est / 1048576.0) || ' MB' end as reject_reason from p""")
 def _(t):
     return S.download_plan(t.sql(PLAN.replace("{s}", "string")))
+
+
+SRC = """(select *, lpad(cast(o_orderkey % 30 + 1 as varchar), 2, '0') || ' TO ' || lpad(cast(o_orderkey % 30 + 3 as varchar), 2, '0') as span from orders)"""
+
+
+@query("endgame_bundle", f"""with o as {SRC}, s as (select min(o_custkey) lo, max(o_custkey) hi from o),
+ b as (select cast(greatest(1, least(25, ceil((o_custkey - lo) / ((hi - lo) / cast(25 as double))))) as int) as bin, o_totalprice as y from o, s),
+ q as (select o_orderstatus, o_orderpriority, quantile_cont(o_totalprice, 0.25) as q1, median(o_totalprice) as m, quantile_cont(o_totalprice, 0.75) as q3 from o
+   where o_orderpriority in (select o_orderpriority from o group by 1 order by count(*) desc, 1 limit 5) group by 1, 2),
+ w as (select q.*, min(o_totalprice) filter (where o_totalprice >= q1 - 1.5 * (q3 - q1)) as lo, max(o_totalprice) filter (where o_totalprice <= q3 + 1.5 * (q3 - q1)) as hi
+   from q join o on o.o_orderstatus = q.o_orderstatus and o.o_orderpriority = q.o_orderpriority group by all),
+ u as (
+ select 'ts_o_totalprice_by_o_orderpriority' as chart, o_orderpriority as series, cast(cast(date_trunc('month', o_orderdate) as date) as varchar) as position, median(o_totalprice) as value from o group by 1, 2, 3
+ union all select 'o_totalprice_vs_o_custkey', 'median', cast(bin as varchar), median(y) from b group by bin having count(*) >= 5
+ union all select 'o_totalprice_by_span', span, cast(cast(split_part(span, ' ', 1) as int) as varchar), median(o_totalprice) from o group by 2, 3
+ union all select 'boxplot_o_totalprice_by_o_orderstatus_o_orderpriority', o_orderstatus || ' / ' || o_orderpriority, k, v from w, lateral (select unnest(['whisker_lo', 'q1', 'median', 'q3', 'whisker_hi']) as k, unnest([least(lo, q1), q1, m, q3, greatest(hi, q3)]) as v)
+ union all select 'variance_decomposition_o_totalprice', 'o_orderstatus', 'explained', (select var_samp(gm) / (select var_samp(o_totalprice) from o) from (select avg(o_totalprice) over (partition by o_orderstatus) as gm from o)))
+ select chart, series, position, round_even(value, 4) as value from u""")
+def _(t):
+    from tablescope.plans.chart_bundle import endgame
+
+    pad = lambda k: F.lpad(((F.col("o_orderkey") % 30) + k).cast("string"), 2, "0")
+    src = t.orders.withColumn("span", F.concat(pad(1), F.lit(" TO "), pad(3)))
+    d = endgame(src, {"date_col": "o_orderdate", "price_col": "o_totalprice", "cat_cols": ["o_orderpriority"], "x_col": "o_custkey", "range_col": "span",
+                      "group_col": "o_orderstatus", "hue_col": "o_orderpriority", "factor_cols": ["o_orderstatus"]})
+    return d.withColumn("value", rnd(F.col("value"), 4))

@@ -80,8 +80,8 @@ FIX: dict[str, str | tuple[str, str]] = {
     "scored": """
         select l_orderkey, l_linenumber, l_returnflag,
                case when l_returnflag = 'R' then 1 else 0 end as actual,
-               (l_partkey % 97) / 97.0 as score,
-               case when (l_partkey % 97) / 97.0 > 0.5 then 1 else 0 end as pred
+               (l_partkey % 97) / cast(97 as double) as score,
+               case when (l_partkey % 97) / cast(97 as double) > 0.5 then 1 else 0 end as pred
         from {lineitem}""",
     "datasets": """
         select concat('d', cast(c_custkey as string)) as id, 'p1' as portal_id, c_name as title,
