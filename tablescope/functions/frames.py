@@ -115,6 +115,17 @@ def per_column(
     return names_frame(_spark(df), cols).join(out, "column", "left")
 
 
+def pair_fan(df: DataFrame, values: list[Column], pairs: list[tuple[int, int]]) -> DataFrame:
+    """One row (i, j, x, y) per wanted pair of values of each row.
+
+    The pairs are indexes into the row's value array: the generated code stays
+    short enough to be compiled however many pairs there are.
+    """
+    index = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
+    fan = df.select(F.array(*values).alias("v"), F.explode(index).alias("p"))
+    return fan.select("p.i", "p.j", F.col("v")[F.col("p.i")].alias("x"), F.col("v")[F.col("p.j")].alias("y"))
+
+
 def group_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -216,15 +227,13 @@ def column_quantiles(
 
 
 def quantiles_of(df: DataFrame, value: str, probs: Sequence[float], one_pass: bool | None = None) -> Column:
-    """Exact whole-table quantiles of one column as a scalar-subquery array."""
-    if one_pass is None:
-        one_pass = fits_one_pass(df.select(col(value)))
-    if one_pass:
-        array = F.array(*[F.lit(float(p)) for p in probs])
-        return df.agg(F.percentile(clean_double(col(value)), array).alias("q")).scalar()
-    long = df.select(F.lit(1).alias("__g"), col(value).alias("__x"))
-    found = group_quantiles(long, ["__g"], "__x", probs, one_pass=False)
-    return found.agg(F.first("q").alias("q")).scalar()
+    """Exact whole-table quantiles of one column as a literal array.
+
+    The len(probs) numbers are computed at once, so that an expression may
+    use them many times without repeating the plan behind them.
+    """
+    q = column_quantiles(df.select(col(value)), [value], probs, one_pass).first()["q"] or [None] * len(probs)
+    return F.array(*[F.lit(x).cast("double") for x in q])
 
 
 def _lead_number(df: DataFrame, name: str) -> Column | None:

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import clean_double, col, numeric_columns, one, rnd
-from ..functions.frames import unpivot_numeric, unpivot_text
+from ..functions.frames import pair_fan, unpivot_numeric, unpivot_text
 from .features import levels_of, standardise
 from .profile import distinct_counts
 from .stats import anova_test, matrix, regime_tests
@@ -86,10 +86,9 @@ def vectors(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFram
 
 def _one_component(df: DataFrame, cols: Sequence[str], n: int) -> float:
     """Log-likelihood of the single Gaussian, from the covariance matrix."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(cols)) for j in range(i, len(cols))])
-    v = F.array(*[F.coalesce(clean_double(col(c)), F.lit(0.0)) for c in cols])
-    fan = df.select(v.alias("v"), F.explode(pairs).alias("p")).select("p.i", "p.j", "v")
-    cov = matrix(fan.groupBy("i", "j").agg(F.covar_pop(F.col("v")[F.col("i")], F.col("v")[F.col("j")]).alias("c")), len(cols), "c")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    fan = pair_fan(df, [F.coalesce(clean_double(col(c)), F.lit(0.0)) for c in cols], pairs)
+    cov = matrix(fan.groupBy("i", "j").agg(F.covar_pop("x", "y").alias("c")), len(cols), "c")
     _, logdet = np.linalg.slogdet(cov + 1e-6 * np.eye(len(cols)))
     return float(-0.5 * n * (len(cols) * (math.log(2 * math.pi) + 1) + logdet))
 

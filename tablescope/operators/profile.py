@@ -15,7 +15,7 @@ from ..functions.exprs import (
     skew_g1, type_name,
 )
 from ..functions.frames import (
-    column_quantiles, fits_one_pass, names_frame, per_column, unpivot_text, value_counts,
+    column_quantiles, fits_one_pass, names_frame, pair_fan, per_column, unpivot_text, value_counts,
 )
 
 
@@ -186,10 +186,8 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None, digits:
         return df.sparkSession.createDataFrame([], "i int, j int, col_a string, col_b string, r double")
     # Rows fan out to pairs inside the scan stage and are combined there, too:
     # one short aggregate per pair key instead of one wide aggregate per pair.
-    index = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
     names = F.array(*[F.lit(c) for c in cols])
-    fan = df.select(F.array(*[clean_double(col(c)) for c in cols]).alias("v"), F.explode(index).alias("p"))
-    fan = fan.select("p.i", "p.j", F.col("v")[F.col("p.i")].alias("x"), F.col("v")[F.col("p.j")].alias("y"))
+    fan = pair_fan(df, [clean_double(col(c)) for c in cols], pairs)
     out = fan.groupBy("i", "j").agg(corr(F.col("y"), F.col("x")).alias("r")).select(
         "i", "j", names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"), "r"
     )

@@ -16,7 +16,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import clean_double, col, label_columns, numeric_columns, one, rnd, varies
-from ..functions.frames import per_column, quantiles_of, unpivot_numeric
+from ..functions.frames import pair_fan, per_column, quantiles_of, unpivot_numeric
 from ..functions.special import f_tail, t_quantile, t_two_sided
 from .charts import box_stats
 from .features import levels_of
@@ -25,10 +25,8 @@ from .features import levels_of
 def gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Uncentred sums of products (i, j, g), null counted as zero."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    index = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
-    v = F.array(*[F.coalesce(clean_double(col(c)), F.lit(0.0)) for c in cols])
-    fan = df.select(v.alias("v"), F.explode(index).alias("p")).select("p.i", "p.j", "v")
-    return fan.groupBy("i", "j").agg(F.sum(F.col("v")[F.col("i")] * F.col("v")[F.col("j")]).alias("g"))
+    fan = pair_fan(df, [F.coalesce(clean_double(col(c)), F.lit(0.0)) for c in cols], pairs)
+    return fan.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("g"))
 
 
 def matrix(rows: DataFrame, size: int, value: str) -> np.ndarray:
