@@ -57,6 +57,40 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def _value_stats(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """distinct_counts plus, for numeric columns, quantiles q and the share of
+    rows outside the 1.5-IQR fences (probs start and end with the quartiles).
+
+    Everything is read off one table of value counts, built in one scan.
+    """
+    nums = [c for c in cols if c in set(numeric_columns(df))]
+    vc = value_counts(df, cols)
+    known = F.col("value").isNotNull()
+    aggs = [
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("value").alias("unique_count"), F.max(F.when(known, F.col("n"))).alias("top_count"), F.sum("n").alias("row_count"),
+    ]
+    number = F.when(F.col("column").isin(nums), F.col("value").try_cast("double")) if nums else F.lit(None).cast("double")
+    one_pass = not nums or fits_one_pass(df.select(*[col(c) for c in nums]))
+    if one_pass:
+        aggs.append(F.percentile(number, F.array(*[F.lit(float(p)) for p in probs]), F.col("n")).alias("q"))
+    s = vc.groupBy("column").agg(*aggs)
+    if not one_pass:
+        s = s.join(column_quantiles(df, nums, probs, one_pass=False), "column", "left")
+    last = len(probs) - 1
+    reach = 1.5 * (F.col("q")[last] - F.col("q")[0])
+    fence = s.filter(F.col("q").isNotNull()).select("column", (F.col("q")[0] - reach).alias("lo"), (F.col("q")[last] + reach).alias("hi"))
+    # One fence per column, so the broadcast is as small as the schema.
+    out = vc.join(F.broadcast(fence), "column").groupBy("column").agg(
+        F.sum(F.when((number < F.col("lo")) | (number > F.col("hi")), F.col("n")).otherwise(0)).alias("outliers"))
+    whole = names_frame(df.sparkSession, cols).join(s, "column", "left").join(out, "column", "left")
+    zero = F.lit(0).cast("bigint")
+    is_num = F.col("column").isin(nums) if nums else F.lit(False)
+    return whole.select(
+        "column", is_num.alias("is_num"), *[F.coalesce(F.col(c), zero).alias(c) for c in ("null_count", "unique_count", "row_count")],
+        "top_count", "q", share(F.coalesce("outliers", zero), F.col("row_count"), 1, 100).alias("outlier_pct"))
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     d = distinct_counts(df, df.columns)
     return d.select(
@@ -159,11 +193,11 @@ def value_counts_report(df: DataFrame, n: int = 10, cols: Sequence[str] | None =
 
 def numeric_summary(df: DataFrame) -> DataFrame:
     cols = numeric_columns(df)
-    stats = _numeric_stats(df, cols, [0.25, 0.5, 0.75], {"skew": skew_g1(_v())})
-    d = distinct_counts(df, cols)
+    moments = per_column(df, cols, {
+        "min": F.min(_v()), "max": F.max(_v()), "mean": F.avg(_v()), "std": F.stddev_samp(_v()), "skew": skew_g1(_v())})
     skew = rnd(F.col("skew"), 2)
     return (
-        stats.join(d, "column").join(iqr_outliers(df, cols), "column")
+        moments.join(_value_stats(df, cols, [0.25, 0.5, 0.75]), "column")
         .select(
             "column", _dtype(df, F.col("column")).alias("dtype"),
             F.col("null_count").alias("nulls"),
@@ -197,20 +231,14 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None, digits:
 def column_assessment(df: DataFrame) -> DataFrame:
     """Rule-based flags and strategies per column."""
     numeric = numeric_columns(df)
-    base = distinct_counts(df, df.columns).withColumn(
+    base = _value_stats(df, df.columns, [0.25, 0.75]).withColumn(
         "null_pct", share(F.col("null_count"), F.col("row_count"), 1, 100)
     )
     if numeric:
-        skew = per_column(df, numeric, {"skew": skew_g1(_v())})
-        base = base.join(
-            skew.join(iqr_outliers(df, numeric), "column").withColumn("is_num", F.lit(True)), "column", "left"
-        )
+        base = base.join(per_column(df, numeric, {"skew": skew_g1(_v())}), "column", "left")
     else:
-        base = base.select(
-            "*", F.lit(None).cast("double").alias("skew"),
-            F.lit(None).cast("double").alias("outlier_pct"), F.lit(False).alias("is_num"),
-        )
-    num = F.coalesce("is_num", F.lit(False))
+        base = base.withColumn("skew", F.lit(None).cast("double"))
+    num = F.col("is_num")
     null, uniq = F.col("null_pct"), F.col("unique_count")
     top = F.try_divide(F.col("top_count").cast("double"), F.col("row_count").cast("double"))
     rules = [
