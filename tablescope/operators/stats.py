@@ -42,11 +42,13 @@ def vif_scores(df: DataFrame, cols: Sequence[str] | None = None, null_share: flo
     nulls = per_column(df, cols, {"p": F.try_divide(F.count_if(F.col("value").isNull()) * 1.0, F.count(F.lit(1)))})
     few = {r["column"] for r in nulls.filter(F.col("p") < null_share).collect()}
     cols = [c for c in cols if c in few]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature string, vif double")
     g = matrix(gram(df, cols), len(cols), "g")
     scale = np.sqrt(np.where(np.diag(g) > 0, np.diag(g), 1.0))
     scaled = g / np.outer(scale, scale)
     rows = []
-    regular = len(cols) > 0 and np.linalg.cond(scaled) < 1e13
+    regular = np.linalg.cond(scaled) < 1e13
     inv = np.linalg.inv(scaled) if regular else None
     for i, c in enumerate(cols):
         rows.append((c, float(scaled[i, i] * inv[i, i]) if regular else None))
