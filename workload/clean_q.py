@@ -204,11 +204,11 @@ MONTHLY = "s as (select o_orderpriority, cast(date_trunc('month', o_orderdate) a
 
 
 @query("period_change", f"""with {MONTHLY}, l as (select *, lag(avg_price) over (partition by o_orderpriority order by month) as p from s)
- select o_orderpriority, month, round_even(avg_price, 4) as avg_price, round_even(p, 4) as previous, round_even(avg_price - p, 4) as change,
+ select o_orderpriority, month, round_even(avg_price, 5) as avg_price, round_even(p, 5) as previous, round_even(avg_price - p, 5) as change,
  round_even((avg_price - p) / p, 6) as change_share from l""")
 def _(t):
     d = E.period_change(monthly(t), "month", "avg_price", ["o_orderpriority"])
-    return d.select("o_orderpriority", "month", *[rnd(F.col(c), 4).alias(c) for c in ("avg_price", "previous", "change")],
+    return d.select("o_orderpriority", "month", *[rnd(F.col(c), 5).alias(c) for c in ("avg_price", "previous", "change")],
                     rnd(F.col("change_share"), 6).alias("change_share"))
 
 
@@ -217,12 +217,12 @@ def _(t):
    from s window w as (partition by o_orderpriority order by month rows between 6 preceding and 6 following)),
  m as (select o_orderpriority, season, avg(avg_price - trend) as sm from a group by 1, 2),
  c as (select o_orderpriority, avg(sm) as cm from m group by 1)
- select a.o_orderpriority, month, round_even(avg_price, 4) as avg_price, cast(a.season as int) as season, round_even(trend, 3) as trend,
+ select a.o_orderpriority, month, round_even(avg_price, 5) as avg_price, cast(a.season as int) as season, round_even(trend, 3) as trend,
   round_even(sm - cm, 3) as seasonal, round_even(avg_price - trend - (sm - cm), 3) as remainder
  from a join m on a.o_orderpriority = m.o_orderpriority and a.season = m.season join c on c.o_orderpriority = a.o_orderpriority""")
 def _(t):
     d = E.seasonal_decompose(monthly(t), "month", "avg_price", F.month("month"), 12, ["o_orderpriority"])
-    return d.select("o_orderpriority", "month", rnd(F.col("avg_price"), 4).alias("avg_price"), "season",
+    return d.select("o_orderpriority", "month", rnd(F.col("avg_price"), 5).alias("avg_price"), "season",
                     *[rnd(F.col(c), 3).alias(c) for c in ("trend", "seasonal", "remainder")])
 
 

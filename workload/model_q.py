@@ -217,6 +217,22 @@ def _(t):
     return L.lag_features(t.events, ["ts", "event_id"], "value")
 
 
-@query("lag_scores")
-def _(t):
-    return L.lag_scores(t.events.withColumn("y", (F.col("event_type") == "click").cast("int")), ["ts", "event_id"], "value", "y")
+@query("lag_scores", """with w as (select value as v, cast(event_type = 'click' as int) as y, row_number() over o as rn, """ + ", ".join(f"lag(value, {k}) over o as l{k}" for k in range(1, 13)) + """
+   from events window o as (order by ts, event_id)),
+ e as (select list_sort(list_distinct(quantile_cont(value, [""" + ", ".join(repr(i / 16) for i in range(17)) + """]))) as es from events),
+ c as (select *, rn - 12 as pos, (select count(*) - 12 from w) as n from w where rn > 12),
+ z as (select *, n // 6 as sz, n - 5 * (n // 6) as f0 from c),
+ p as (select *, cast(case when pos <= f0 then 0 else least((pos - f0 - 1) // sz + 1, 5) end as int) as part from z),
+ b as (select part, y, lag, greatest(len(list_filter(es[1:len(es) - 1], lambda q: q < v)), 1) as bin from (
+   """ + " union all ".join(f"select part, y, {k} as lag, l{k} as v from p" for k in range(1, 13)) + """), e),
+ k as (select part, lag, bin, count(*) as n, sum(y) as pos from b group by 1, 2, 3),
+ f as (select unnest(generate_series(1, 5)) as fold),
+ tr as (select fold, lag, bin, sum(n) as tn, sum(pos) as tp from k join f on part < fold group by 1, 2, 3),
+ df as (select fold, lag, sum(tp) * 2 > sum(tn) as d from tr group by 1, 2),
+ j as (select k.lag, k.part as fold, k.n, k.pos, coalesce(tp * 2 > tn, d) as say from k left join tr on tr.fold = k.part and tr.lag = k.lag and tr.bin = k.bin
+   join df on df.fold = k.part and df.lag = k.lag where k.part > 0),
+ s as (select lag, fold, sum(case when say then pos else 0 end) as tp, sum(case when say then n - pos else 0 end) as fp, sum(pos) as p, sum(n - pos) as q from j group by 1, 2)
+ select cast(lag as int) as lag, round_even(avg(case when p = 0 or q = 0 then 0.5 else (tp / cast(p as double) + 1 - fp / cast(q as double)) / 2 end), 6) as score from s group by 1""")
+def _(t):
+    d = L.lag_scores(t.events.withColumn("y", (F.col("event_type") == "click").cast("int")), ["ts", "event_id"], "value", "y")
+    return r6(d, "score")
