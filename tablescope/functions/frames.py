@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -42,21 +43,43 @@ def fits_one_pass(df: DataFrame) -> bool:
     return size is not None and size <= limit
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors see: spark.checkpoint.dir of the session. Only
+    a local session, as in tests, falls back to a temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder which all executors share")
+    return tempfile.mkdtemp(prefix="tablescope-")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared checkpoint folder of the cluster."""
-    spark = _spark(df)
-    sc = spark.sparkContext
+    sc = _spark(df).sparkContext
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            # Only where no cluster named one, as in local tests.
-            import tempfile
-
-            shared = tempfile.mkdtemp(prefix="tablescope-ckpt-")
-        sc.setCheckpointDir(shared)
+        sc.setCheckpointDir(shared_dir(_spark(df)))
     return df.checkpoint(eager=True)
 
 
+MAX_BROADCAST_ROWS = 10_000
+
+
+def sized(small: DataFrame, large: DataFrame | None = None) -> DataFrame:
+    """A table of group figures, ready to be joined to a large table.
+
+    It is written to the checkpoint folder and counted: up to
+    MAX_BROADCAST_ROWS rows it is broadcast, so the large side stays where it
+    is; beyond that both sides meet by key. Being written, its figures are
+    the same for every task, also for one that runs again after a loss.
+    A large side of one-pass size needs neither.
+    """
+    if large is not None and fits_one_pass(large):
+        return small
+    kept = checkpointed(small)
+    return F.broadcast(kept) if kept.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else kept
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     """Value as text, so that equal values stay equal and others differ."""
     c = col(name)
@@ -161,6 +184,7 @@ def group_quantiles(
         ).alias("__s"),
     )
     # Second pass: the bracket travels with its counts, so both stay consistent.
+    sketch = sized(sketch)
     both = src.join(sketch, by)
     counts = both.groupBy(*by, "__n", "__s").agg(
         F.array(*[
@@ -196,7 +220,7 @@ def group_quantiles(
     # Third pass: only the values inside a bracket are grouped and ranked.
     tkey = [*by, "__i", "__n", "__r", "__frac", "__below"]
     inside = (
-        src.join(targets, by)
+        src.join(sized(targets), by)
         .filter(F.col("__v").between(F.col("__lo"), F.col("__hi")))
         .groupBy(*tkey, "__v")
         .agg(F.count(F.lit(1)).alias("__m"))

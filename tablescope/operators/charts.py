@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import clean_double, col, corr, numeric_columns, one, other_columns, rnd, share, skew_g1
 from ..functions.frames import (
-    column_quantiles, group_quantiles, keep_top, per_column, quantiles_of, top_values, unpivot_numeric,
+    column_quantiles, group_quantiles, keep_top, per_column, quantiles_of, sized, top_values, unpivot_numeric,
     unpivot_text, value_counts,
 )
 from .features import group_rare, quantile_bin, width_bin
@@ -30,6 +30,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: Column | int | None = No
         F.when(flat, F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"),
     )
     keys = [*by, "column"]
+    stats = sized(stats, df)
     counts = (
         unpivot_numeric(df, cols, by).filter(v.isNotNull()).join(stats, keys)
         .groupBy(*keys, width_bin(v, F.col("lo"), F.col("hi"), F.col("bins")).alias("bin"))
@@ -129,7 +130,7 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     inside = v.between(F.col("__lo"), F.col("__hi"))
     keys = [*by, "n", "q1", "median", "q3"]
     # Combined per group before the shuffle, so a hot group costs no more.
-    return df.select(*[col(b) for b in by], col(value)).join(q, by).groupBy(*keys).agg(
+    return df.select(*[col(b) for b in by], col(value)).join(sized(q, df), by).groupBy(*keys).agg(
         F.min(F.when(inside, v)).alias("__a"), F.max(F.when(inside, v)).alias("__b"),
     ).select(*keys, F.least("q1", "__a").alias("whisker_lo"), F.greatest("q3", "__b").alias("whisker_hi"))
 
@@ -277,7 +278,7 @@ def interaction_lines(df: DataFrame, x: str, y: str, group: str, n_groups: int =
     edges = group_quantiles(d, ["grp"], "x", probs).filter(F.col("n") >= min_rows)
     few = _few_value_edges(d, max_bins)
     edges = edges.join(few, "grp", "left").select("grp", F.coalesce("few", "q").alias("edges"))
-    b = d.join(edges, "grp")
+    b = d.join(sized(edges, d), "grp")
     e = F.array_distinct("edges")
     bin_no = F.greatest(F.size(F.filter(e, lambda v: v < F.col("x"))), F.lit(1))
     b = b.select("grp", bin_no.alias("bin"), ((e[bin_no - 1] + F.try_element_at(e, bin_no + 1)) / 2).alias("x_mid"), "y")

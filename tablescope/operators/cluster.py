@@ -272,6 +272,8 @@ def density_clusters(df: DataFrame, id_col: str, cols: Sequence[str], min_cluste
     x = {c: clean_double(col(c)) for c in cols}
     edge = df.agg(F.count(F.lit(1)).alias("n"), *[F.min(x[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
                   *[F.max(x[c]).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    if 2 ** len(cols) > MAX_CELLS:
+        raise ValueError("too many columns for a grid; embed them first")
     top = int(MAX_CELLS ** (1.0 / len(cols)) + 1e-9)
     side = max(2, min(top, round((edge["n"] / min_samples) ** (1.0 / len(cols)))))
     cell = []

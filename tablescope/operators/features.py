@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import clean_double, col, corr, one, rnd, share
-from ..functions.frames import group_quantiles, quantiles_of, running_totals, top_values
+from ..functions.frames import group_quantiles, quantiles_of, running_totals, sized, top_values
 from .profile import fences
 
 
@@ -100,7 +100,7 @@ def group_index(df: DataFrame, group: str, value: str, out: str = "group_index")
     """Group median over whole-table median, joined back to every row."""
     g = group_quantiles(df, [group], value, [0.5]).select(col(group).alias("__g"), F.col("q")[0].alias("__m"))
     overall = quantiles_of(df, value, [0.5])[0]
-    return df.join(g, col(group) == F.col("__g"), "left").select(
+    return df.join(sized(g, df), col(group) == F.col("__g"), "left").select(
         *[col(c) for c in df.columns], F.try_divide(F.col("__m"), overall).alias(out)
     )
 
@@ -130,7 +130,7 @@ def one_hot(df: DataFrame, c: str, drop_first: bool = True, keep: bool = True) -
 
 def frequency(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
     counts = df.groupBy(col(c).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    return df.join(counts, col(c) == F.col("__v"), "left").select(
+    return df.join(sized(counts, df), col(c) == F.col("__v"), "left").select(
         *[col(x) for x in df.columns], F.col("__n").alias(out or f"{c}_freq")
     )
 
@@ -153,7 +153,7 @@ def merge_group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Mean and deviation per group on every row, pre-aggregated then joined."""
     g = df.groupBy(col(group).alias("__g")).agg(
         F.avg(value).alias(f"{value}_mean"), F.stddev_samp(value).alias(f"{value}_std"))
-    return df.join(g, col(group) == F.col("__g"), "left").drop("__g")
+    return df.join(sized(g, df), col(group) == F.col("__g"), "left").drop("__g")
 
 
 def period_change(series: DataFrame, period: str, value: str, by: Sequence[str] = ()) -> DataFrame:

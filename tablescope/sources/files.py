@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.exprs import col
+from ..functions.frames import shared_dir
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -28,9 +28,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder in the shared place named by spark.checkpoint.dir."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tablescope-")
-    return f"{root}/tablescope/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/tablescope/{name}-{uuid.uuid4().hex}"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
