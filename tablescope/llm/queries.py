@@ -1,10 +1,12 @@
 """The registered queries of this subpackage, and the SQL of those SQL can express."""
 
-from . import chat, packing, tokens
+from . import chat, packing, secrets, simhash, tokens
 
 QUERIES = {
     "op2_bpe": tokens.op2_bpe,
     "op5_packing": packing.op5_packing,
     "op7_chat": chat.op7_chat,
+    "op8_secrets": secrets.op8_secrets,
+    "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {**chat.ORACLES}
