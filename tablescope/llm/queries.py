@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, and the SQL of those SQL can express."""
 
-from . import chat, packing, secrets, simhash, tokens
+from . import chat, packing, repeats, secrets, simhash, tokens
 
 QUERIES = {
+    "op1_repeats": repeats.op1_repeats,
     "op2_bpe": tokens.op2_bpe,
     "op5_packing": packing.op5_packing,
     "op7_chat": chat.op7_chat,
