@@ -1,11 +1,12 @@
 """The registered queries of this subpackage, and the SQL of those SQL can express."""
 
-from . import caps, chat, packing, repeats, secrets, simhash, tokens
+from . import caps, chat, packing, repeats, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_repeats": repeats.op1_repeats,
     "op2_bpe": tokens.op2_bpe,
     "op3_caps": caps.op3_caps,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_packing": packing.op5_packing,
     "op7_chat": chat.op7_chat,
     "op8_secrets": secrets.op8_secrets,
