@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL of those SQL can express."""
 
-from . import caps, chat, packing, repeats, secrets, simhash, tokens, toxicity
+from . import caps, chat, langid, packing, quality, repeats, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_repeats": repeats.op1_repeats,
@@ -8,8 +8,10 @@ QUERIES = {
     "op3_caps": caps.op3_caps,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_packing": packing.op5_packing,
+    "op6_language": langid.op6_language,
     "op7_chat": chat.op7_chat,
     "op8_secrets": secrets.op8_secrets,
+    "op9_quality": quality.op9_quality,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {**chat.ORACLES}
