@@ -167,7 +167,7 @@ def predict(docs: DataFrame, f: LanguageFilter, text: str = "text", id_col: str
                 names=[id_col, *keep, "lang_pred", "score", "coverage"],
             )
 
-    return map_arrow(docs.select(id_col, text, *keep), run, ", ".join(f"`{c}` {types[c]}" for c in (id_col, *keep)) + ", lang_pred string, score double, coverage double")
+    return map_arrow(docs.select(*dict.fromkeys((id_col, text, *keep))), run, ", ".join(f"`{c}` {types[c]}" for c in (id_col, *keep)) + ", lang_pred string, score double, coverage double")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

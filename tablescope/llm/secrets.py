@@ -220,7 +220,7 @@ def scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep: tupl
             yield pa.RecordBatch.from_arrays(out, names=names)
 
     schema = ", ".join(f"`{c}` {types[c]}" for c in (id_col, *keep)) + ", n_assign bigint, n_access bigint, n_hex bigint, n_confirmed bigint, base_sha256 string, spans string" + ", redacted string" * (mark is not None)
-    return map_arrow(docs.select(id_col, text, *keep), run, schema)
+    return map_arrow(docs.select(*dict.fromkeys((id_col, text, *keep))), run, schema)
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
