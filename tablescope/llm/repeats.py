@@ -36,7 +36,7 @@ from .common import map_arrow, table
 
 WIDTH, GRAM = 200, 32
 #: Starts that a scan handles at a time, and bytes of segments of one suffix array.
-SCAN_STARTS, ARRAY_BYTES = 1 << 18, 4 << 20
+SCAN_STARTS, ARRAY_BYTES = 1 << 16, 1 << 20
 #: Starts of a segment at most: only periodic text has longer runs of one anchor.
 LONGEST_RUN = 1024
 HOT_GROUP = 50_000
@@ -84,24 +84,25 @@ def segments(buf: np.ndarray, ends: np.ndarray, width: int, gram: int) -> tuple[
     name = block_names(buf, gram)
     low = np.uint64((1 << 24) - 1)
     least = sliding_min((name & ~low) | np.arange(len(name), dtype=np.uint64), width - gram + 1)
-    place = (least & low).astype(np.int64)
-    key = name[place]
-    start = np.arange(len(key))
-    text = np.zeros(len(buf) + 1, np.int32)
-    np.add.at(text, ends[ends < len(buf)], 1)
-    text = np.cumsum(text)
-    valid = text[start] == text[start + width - 1]
-    cut = np.r_[True, (key[1:] != key[:-1]) | (text[1 : len(key)] != text[: len(key) - 1]) | ~valid[:-1]] & valid
-    first = np.flatnonzero(cut)
-    if not len(first):
+    place = (least & low).astype(np.int32)
+    text = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(np.r_[0, ends]))
+    n = len(place)
+    valid = text[:n] == text[width - 1 : width - 1 + n]
+    # Runs of one place first, then neighbours with one hash are joined.
+    run = np.r_[0, np.flatnonzero((place[1:] != place[:-1]) | (text[1:n] != text[: n - 1]) | (valid[1:] != valid[:-1])) + 1]
+    key, own, good = name[place[run]], text[run], valid[run]
+    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]) | ~good[:-1]] & good)
+    if not len(new):
         return none, none, none.view(np.uint64), none
-    count = np.add.reduceat(valid.astype(np.int64), first)
+    first, key = run[new], key[new]
+    count = np.add.reduceat(np.where(good, np.diff(np.r_[run, n]), 0), new)
+    places = np.add.reduceat(good.astype(np.int64), new)
     if count.max() > LONGEST_RUN:
         parts = -(-count // LONGEST_RUN)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first, count = np.repeat(first, parts) + nth * LONGEST_RUN, np.minimum(np.repeat(count, parts) - nth * LONGEST_RUN, LONGEST_RUN)
-    moves = np.r_[0, np.cumsum(np.diff(place) != 0)]
-    return first, count, key[first], 1 + moves[first + count - 1] - moves[first]
+        key, places = np.repeat(key, parts), np.repeat(places, parts)
+    return first, count, key, places
 
 
 def scan_pieces(texts: list[bytes], width: int) -> Iterator[tuple[list[int], list[int], bytes, np.ndarray]]:
@@ -120,10 +121,9 @@ def scan_pieces(texts: list[bytes], width: int) -> Iterator[tuple[list[int], lis
         yield which, offset, b"".join(parts), np.cumsum([len(p) for p in parts])
 
 
-def equal_windows(buf: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """Order of those starts whose ``width`` bytes another one has too, equal
-    windows side by side (by name)."""
-    name = block_names(buf, width)[starts]
+def equal_windows(name: np.ndarray) -> np.ndarray:
+    """Order of those starts whose name another one has too, equal names side
+    by side."""
     order = np.argsort(name, kind="stable")
     same = name[order][1:] == name[order][:-1]
     return order[np.r_[False, same] | np.r_[same, False]]
@@ -212,13 +212,13 @@ def repeat_groups(parts: list[bytes], counts: list[int], width: int = WIDTH) ->
     total = int(n.sum())
     owner = np.repeat(np.arange(len(parts)), n)
     starts = first[owner] + np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-    o = equal_windows(buf, starts, width) if total else starts
-    s, seg = starts[o], owner[o]
+    name = block_names(buf, width)[starts] if total else starts
+    o = equal_windows(name)
+    s, seg, name = starts[o], owner[o], name[o]
     left = np.where(s == first[seg], -1 - np.arange(len(s)), buf[np.maximum(s - 1, 0)].astype(np.int64))
     if len(s):
         # A group of equal windows with one known byte to the left lies inside a
         # longer repeat that starts one byte before: it has no maximal repeat.
-        name = block_names(buf, width)[s]
         fresh = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
         sizes = np.diff(np.r_[fresh, len(s)])
         diverse = np.maximum.reduceat(left, fresh) != np.minimum.reduceat(left, fresh)
@@ -280,12 +280,16 @@ def repeated_starts(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_
                     names=["key", "sub", "h", "g", "at", "n", "places"],
                 )
 
-    found = map_arrow(texts, anchors, "key bigint, sub bigint, h bigint, g int, at bigint, n int, places int")
+    found = map_arrow(texts.select("h", "g", "body"), anchors, "key bigint, sub bigint, h bigint, g int, at bigint, n int, places int")
     # Anchors that occur once leave; c: occurrences of the anchor.
+    # Joins further on would push these filters into some of the exchanges only.
+    found = found.filter("key is not null and sub is not null and h is not null and g is not null")
     many = found.groupBy("key").agg(F.sum("places").alias("c")).filter("c > 1")
     met = found.drop("places").join(many, "key")
     different = met.groupBy("key", "sub").agg(F.count("*").alias("copies"), F.min(F.struct("h", "g", "at", "n")).alias("r"), F.max("c").alias("c"))
-    whole = different.filter("copies > 1").select("key", "sub", F.lit(0).alias("lo"), F.col("r.n").alias("cnt"))
+    # Every branch names all columns of what it shares with the others, so that
+    # the exchanges below are equal and run once.
+    whole = different.filter("copies > 1 and c >= copies").select("key", "sub", F.lit(0).alias("lo"), F.col("r.n").alias("cnt"))
     # All occurrences of an anchor are copies of one segment: nothing more to compare.
     fetch = different.filter("c > copies").select("key", "sub", "r.h", "r.g", "r.at", "r.n", "c")
     seg = fetch.join(texts, ["h", "g"]).select("key", "sub", "n", "c", F.expr(f"substring(body, int(at) + 1, n + {width - 1})").alias("seg"))
@@ -326,8 +330,9 @@ def repeated_starts(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_
     twice = dealt.groupBy("w").agg(F.count("*").alias("k")).filter("k > 1").select("w")
     in_hot = dealt.join(twice, "w", "left_semi").select("key", "sub", "lo", F.lit(1).alias("cnt"))
     runs = whole.unionByName(in_groups).unionByName(in_hot).groupBy("key", "sub").agg(F.collect_set(F.struct("lo", "cnt")).alias("runs"))
-    back = met.select("key", "sub", "h", "g", "at").join(runs, ["key", "sub"])
-    return back.select("h", "g", F.col("at"), F.explode("runs").alias("r")).select("h", "g", (F.col("at") + F.col("r.lo")).alias("start"), F.col("r.cnt").cast("bigint").alias("count"))
+    back = met.select("key", "sub", "h", "g", "at", "n").join(runs, ["key", "sub"])
+    exact = F.least(F.col("r.cnt"), F.col("n") - F.col("r.lo"))
+    return back.select("h", "g", "at", "n", F.explode("runs").alias("r")).select("h", "g", (F.col("at") + F.col("r.lo")).alias("start"), exact.cast("bigint").alias("count"))
 
 
 def text_key(text):
@@ -335,27 +340,25 @@ def text_key(text):
     return F.xxhash64(text).alias("h"), F.hash(text).alias("g")
 
 
-def dedup_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, gram: int = GRAM, hot_group: int = HOT_GROUP, keep_bytes: bool = False) -> DataFrame:
-    """``docs`` with the columns h and g (its text's key), ``n_bytes``,
-    ``n_removed``, ``n_spans`` and ``kept_sha256``; with ``keep_bytes`` also
-    ``kept``, the remaining bytes. The other columns, but for the text, stay.
+def dedup_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, gram: int = GRAM, hot_group: int = HOT_GROUP, keep_text: bool = False) -> DataFrame:
+    """The columns of ``docs`` but for the text, with ``n_bytes``,
+    ``n_removed``, ``n_spans`` and ``kept_sha256``; with ``keep_text`` also
+    ``kept``, the remaining bytes read as UTF-8, without characters of which
+    only a part is left.
 
     A null text is empty; texts shorter than ``width`` keep everything. Texts
     that occur in two rows or more are removed whole. Ties do not matter: every
-    occurrence of a repeated string is removed. Columns whose names clash with
-    the new ones are not allowed and are named in the error. An empty table
-    gives none.
+    occurrence of a repeated string is removed. A column of ``docs`` with the
+    name of a new one gives way to it. An empty table gives none.
     """
-    new = {"h", "g", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"}
-    clash = [c for c in docs.columns if c.lower() in new and c != text]
-    if clash:
-        raise ValueError(f"columns clash with those of the result: {clash}")
+    new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text]
+    rest = [c for c in docs.columns if c.lower() not in {n.lower() for n in (*new, text)}]
     body = F.coalesce(F.col(text), F.lit(""))
-    rest = [c for c in docs.columns if c != text]
-    keyed = docs.select(*rest, body.alias("body"), *text_key(body), F.octet_length(body).cast("bigint").alias("n_bytes"))
+    keyed = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), body.alias("body"), *text_key(body), F.octet_length(body).cast("bigint").alias("n_bytes"))
     long = keyed.filter(F.col("n_bytes") >= width)
     texts = long.groupBy("h", "g").agg(F.first(F.col("body").cast("binary")).alias("body"), F.count("*").alias("rows"))
-    spans = repeated_starts(texts.select("h", "g", "body"), width, gram, hot_group).groupBy("h", "g").agg(F.collect_set(F.struct("start", "count")).alias("spans"))
+    # Naming the count keeps the exchange of the texts the same for all its users.
+    spans = repeated_starts(texts.filter("rows > 0"), width, gram, hot_group).groupBy("h", "g").agg(F.collect_set(F.struct("start", "count")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,16 +368,15 @@ def dedup_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, gram:
                 rows.append(kept_bytes(body, np.array([[0, len(body)]]) if copies > 1 else at))
             out = [batch.column("h"), batch.column("g"), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([hashlib.sha256(r[0]).hexdigest() for r in rows], pa.string())]
             names = ["h", "g", "n_removed", "n_spans", "kept_sha256"]
-            if keep_bytes:
-                out, names = [*out, pa.array([r[0] for r in rows], pa.binary())], [*names, "kept"]
+            if keep_text:
+                out, names = [*out, pa.array([r[0].decode("utf-8", "ignore") for r in rows], pa.string())], [*names, "kept"]
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    done = map_arrow(texts.join(spans, ["h", "g"], "left"), remove, "h bigint, g int, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep_bytes)
+    done = map_arrow(texts.join(spans, ["h", "g"], "left"), remove, "h bigint, g int, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * keep_text)
     zero = F.lit(0).cast("bigint")
-    wide = keyed.filter(F.col("n_bytes") >= width).drop("body").join(done, ["h", "g"]).select(*rest, "h", "g", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_bytes)
-    own_bytes = F.col("body").cast("binary")
-    short = keyed.filter(F.col("n_bytes") < width).select(*rest, "h", "g", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(own_bytes, 256).alias("kept_sha256"), *[own_bytes.alias("kept")] * keep_bytes)
-    return wide.unionByName(short)
+    wide = keyed.filter(F.col("n_bytes") >= width).select("row", "h", "g", "n_bytes").join(done, ["h", "g"]).select("row", *new)
+    short = keyed.filter(F.col("n_bytes") < width).select("row", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(F.col("body").cast("binary"), 256).alias("kept_sha256"), *[F.col("body").alias("kept")] * keep_text)
+    return wide.unionByName(short).select(*[F.col(f"row.`{c}`") for c in rest], *new)
 
 
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
