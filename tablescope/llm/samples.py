@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Rows of each class at most, and bytes of a sampled text at most. Rows are
 #: taken in order of a hash of their id, so that no source is preferred.
-PER_CLASS, LONGEST = 2000, 32_768
+PER_CLASS, LONGEST = 800, 32_768
 
 
 def not_held_out(id_col: str, folds: int, held: int) -> Column:

@@ -9,7 +9,6 @@ largest value and sum a calibrated score of the document.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .bpe import gather
 from .common import map_arrow, slices, table
-from .crf import Chain, logistic, marginals, train
+from .crf import Chain, blocks, logistic, marginals, train
 from .samples import PER_CLASS, labelled_sample, not_held_out
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -63,26 +63,33 @@ def summary(p: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], y: np.ndarray, weight: np.ndarray) -> ToxicModel:
     """On a bounded sample, on the driver."""
-    docs = [t.split() for t in texts]
-    known = {c: features(c) for c in {c for d in docs for c in d}}
-    per_doc = [{f for c in set(d) for f in known[c]} for d in docs]
-    df, pos = Counter(), Counter()
-    for fs, label in zip(per_doc, y.tolist()):
-        df.update(fs)
-        if label:
-            pos.update(fs)
-    used = sorted(f for f, n in df.items() if n >= LEAST_DOCS)
-    index = {f: i for i, f in enumerate(used)}
+    items: dict[str, int] = {}
+    docs = [np.array([items.setdefault(c, len(items)) for c in t.split()], np.int64) for t in texts]
+    names: dict[str, int] = {}
+    per = [[names.setdefault(f, len(names)) for f in features(c)] for c in items]
+    width = np.fromiter(map(len, per), np.int64, len(per))
+    cols = np.fromiter((f for fs in per for f in fs), np.int64, int(width.sum()))
+    del per
+    start = np.cumsum(width) - width
+    # Documents, and toxic ones, that show each feature; one document at a time.
+    df, pos = np.zeros(len(names)), np.zeros(len(names))
+    for d, label in zip(docs, y.tolist()):
+        own = np.unique(d)
+        seen = np.unique(gather(cols, start, width, own))
+        df[seen] += 1
+        pos[seen] += label
+    rows = np.repeat(np.arange(len(items)), width)
+    used = np.flatnonzero(df >= LEAST_DOCS)
+    place = np.full(len(names), -1)
+    place[used] = np.arange(len(used))
+    rows, cols = rows[place[cols] >= 0], place[cols[place[cols] >= 0]]
     share = float(y.mean()) if len(y) else 0.0
-    n, k = np.array([df[f] for f in used], float), np.array([pos[f] for f in used], float)
+    n, k = df[used], pos[used]
     z = (k - n * share) / np.sqrt(n * share * (1 - share) + 1)
-    items = {c: i for i, c in enumerate(known)}
-    rows = np.array([items[c] for c, fs in known.items() for f in fs if f in index], np.int64)
-    cols = np.array([index[f] for fs in known.values() for f in fs if f in index], np.int64)
     strong = np.zeros(len(items), bool)
     strong[rows[z[cols] >= LEAST_Z]] = True
     lens = np.array([len(d) for d in docs], np.int64)
-    token = np.array([items[c] for d in docs for c in d], np.int64)
+    token = np.concatenate(docs) if docs else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(docs)), lens)
     tags = (strong[token] & (y[owner] == 1)).astype(np.int64) if len(token) else token
     if not len(token) or not tags.any() or not len(used):
@@ -91,9 +98,10 @@ def fit(texts: list[str], y: np.ndarray, weight: np.ndarray) -> ToxicModel:
     first = np.r_[True, owner[1:] != owner[:-1]]
     w, bias, chain = train(rows, cols, token, first, tags, len(items), len(used))
     odds = (np.bincount(rows, weights=w[cols], minlength=len(items)) + bias)[token]
-    s = summary(marginals(odds, first, chain), lens)
-    keep = np.abs(w) > 1e-3
-    return ToxicModel({f: float(v) for f, v, k in zip(used, w, keep) if k}, bias, chain, logistic(s, y.astype(float), weight))
+    s = summary(np.concatenate([marginals(odds[a:b], first[a:b], chain) for a, b in blocks(first)]), lens)
+    listed = list(names)
+    weights = {listed[f]: float(v) for f, v in zip(used.tolist(), w.tolist()) if abs(v) > 1e-3}
+    return ToxicModel(weights, bias, chain, logistic(s, y.astype(float), weight))
 
 
 def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD, text: str = "text", id_col: str = "doc_id", cache: int = 300_000) -> DataFrame:
