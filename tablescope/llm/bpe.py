@@ -156,7 +156,7 @@ class Encoder:
     store is emptied beyond ``limit`` words, which bounds memory and changes no
     id."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 500_000):
+    def __init__(self, vocabulary: Vocabulary, limit: int = 250_000):
         self.v, self.limit = vocabulary, limit
         split = Tokenizer.from_str(vocabulary.splitter)
         self.normal, self.cut = split.normalizer, split.pre_tokenizer

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.frames import checkpointed, sized
-from .common import components, map_arrow, table
+from ..functions.graph import components
+from .common import map_arrow, table
 
 LEAST_COSINE = 0.95
 CODES, WORDS, MEAN_FILTERS, SEED = 12, 256, 4.0, 20240229

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import free_name, table
+from .common import table
 
 # Fixed values of the template.
 START, END, TARGET_ROLE = "<|im_start|>", "<|im_end|>\n", "assistant"

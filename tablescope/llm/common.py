@@ -6,12 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from ..functions.frames import checkpointed
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task holds as Python objects at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +28,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
     for batch in batches:
         if not batch.num_rows:
             continue
-        lens = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        lens = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(lens) // limit)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
@@ -39,39 +38,3 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
-
-
-def free_name(taken, name: str) -> str:
-    """``name``, with underscores added until no column of ``taken`` has it
-    (columns are compared without case)."""
-    low = {c.lower() for c in taken}
-    while name.lower() in low:
-        name += "_"
-    return name
-
-
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the smallest node reachable over undirected links.
-
-    Alternating large-star and small-star rounds. Every round is an aggregate
-    by node with map-side combine and a join, and is checkpointed in the shared
-    folder; the rounds end when no link changes. Each node's result is one
-    link, so the links never grow beyond their first number by more than the
-    number of nodes. Nodes without links do not appear.
-    """
-    x = links.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).filter("lo < hi").distinct()
-    x = checkpointed(x)
-    last = None
-    while True:
-        # Large star: every neighbour above a node meets the node's smallest neighbour.
-        both = x.select(F.col("lo").alias("n"), F.col("hi").alias("m")).union(x.select(F.col("hi").alias("n"), F.col("lo").alias("m")))
-        least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("r"))
-        large = both.filter("m > n").join(least, "n").select(F.col("r").alias("lo"), F.col("m").alias("hi")).filter("lo < hi").distinct()
-        # Small star: every neighbour below a node, and the node, meet the smallest one.
-        low = large.groupBy("hi").agg(F.min("lo").alias("r"))
-        small = large.join(low, "hi").select(F.col("r").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi")).filter("lo < hi").distinct()
-        x = checkpointed(small)
-        now = x.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if tuple(now) == last:
-            return x.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(x.select(F.col("lo"), F.col("lo"))).distinct()
-        last = tuple(now)

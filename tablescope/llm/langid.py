@@ -151,7 +151,7 @@ def predict(docs: DataFrame, f: LanguageFilter, text: str = "text", id_col: str
     types = {x.name: x.dataType.simpleString() for x in docs.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, text, 1 << 20):
+        for part, texts in slices(batches, text, 1 << 19):
             share, count = f.shares([t.decode("utf-8", "replace") for t in texts])
             if f.names:
                 best = share.argmax(axis=1)

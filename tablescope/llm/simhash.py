@@ -18,7 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import components, map_arrow, slices, table
+from ..functions.frames import checkpointed
+from ..functions.graph import components
+from .common import map_arrow, slices, table
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 SPACE = re.compile(rb"[ \t-\r]")
@@ -118,8 +120,6 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     take part, but are no component's smallest id unless nothing else is in it
     (then it is null). Further columns are ignored; an empty table gives none.
     """
-    from ..functions.frames import checkpointed
-
     own = checkpointed(fingerprints(docs, text, id_col))
     classes = own.groupBy("fp").agg(F.min(id_col).alias("least"))
     parts = components(links(classes.select("fp")))

@@ -9,8 +9,8 @@ import pandas as pd
 import pytest
 import xxhash
 
+from tablescope.functions.graph import components
 from tablescope.llm import caps, queries, repeats, simhash
-from tablescope.llm.common import components
 
 SF = "/root/testdata/sf0.001"
 
