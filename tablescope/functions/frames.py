@@ -9,10 +9,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .exprs import clean_double, col
@@ -22,7 +23,11 @@ from .exprs import clean_double, col
 ONE_PASS_BYTES_KEY = "spark.tablescope.onePassBytes"
 ONE_PASS_BYTES = 64 * 1024 * 1024
 SKETCH_ACCURACY = 10_000
-BUCKETS = 512
+#: Rows of a bucket of an ordered frame.
+BUCKET_ROWS = 1_000_000
+#: Values inside the bracket of a quantile that may be ranked in one task; wider
+#: brackets are narrowed again, at most so many times.
+MAX_INSIDE, ROUNDS, GRID = 1_000_000, 8, 500
 
 
 def _spark(df: DataFrame) -> SparkSession:
@@ -33,7 +38,7 @@ def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate for the frame, None where it is unavailable."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
+    except (Py4JError, AttributeError, ValueError):
         return None
 
 
@@ -62,14 +67,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-MAX_BROADCAST_ROWS = 10_000
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 10_000, 8 << 20
 
 
 def sized(small: DataFrame, large: DataFrame | None = None) -> DataFrame:
     """A table of group figures, ready to be joined to a large table.
 
     It is written to the checkpoint folder and counted: up to
-    MAX_BROADCAST_ROWS rows it is broadcast, so the large side stays where it
+    MAX_BROADCAST_ROWS rows and MAX_BROADCAST_BYTES it is broadcast, so the large side stays where it
     is; beyond that both sides meet by key. Being written, its figures are
     the same for every task, also for one that runs again after a loss.
     A large side of one-pass size needs neither.
@@ -77,7 +82,9 @@ def sized(small: DataFrame, large: DataFrame | None = None) -> DataFrame:
     if large is not None and fits_one_pass(large):
         return small
     kept = checkpointed(small)
-    return F.broadcast(kept) if kept.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else kept
+    few = kept.limit(MAX_BROADCAST_ROWS + 1)
+    s = few.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct("*")))).alias("b")).first()
+    return F.broadcast(kept) if s["n"] <= MAX_BROADCAST_ROWS and (s["b"] or 0) <= MAX_BROADCAST_BYTES else kept
 
 
 def text_of(df: DataFrame, name: str) -> Column:
@@ -162,7 +169,9 @@ def group_quantiles(
     brackets every wanted rank, a second pass counts the rows below and inside
     each bracket, a third one ranks only the distinct values inside the
     brackets. A bracket which misses its rank is widened to the whole group,
-    so the answer is exact in every case.
+    so the answer is exact in every case; one that holds more than MAX_INSIDE
+    values, and more than one different one, is narrowed by a sketch of its
+    inside until it does not.
     """
     by = list(by)
     v = clean_double(col(value))
@@ -216,7 +225,15 @@ def group_quantiles(
         F.when(holds, F.col("__lo")).otherwise(F.lit(float("-inf"))).alias("__lo"),
         F.when(holds, F.col("__hi")).otherwise(F.lit(float("inf"))).alias("__hi"),
         F.when(holds, F.col("__k.below")).otherwise(F.lit(0)).alias("__below"),
+        F.when(holds, F.col("__k.inside")).otherwise(F.col("__n")).alias("__inside"),
     )
+    targets = checkpointed(targets)
+    wide = (F.col("__inside") > MAX_INSIDE) & (F.col("__lo") < F.col("__hi"))
+    for _ in range(ROUNDS):
+        large = targets.filter(wide)
+        if large.isEmpty():
+            break
+        targets = checkpointed(targets.filter(~wide).unionByName(_narrowed(src, by, large)))
     # Third pass: only the values inside a bracket are grouped and ranked.
     tkey = [*by, "__i", "__n", "__r", "__frac", "__below"]
     inside = (
@@ -240,6 +257,29 @@ def group_quantiles(
     )
 
 
+def _narrowed(src: DataFrame, by: list[str], targets: DataFrame) -> DataFrame:
+    """The targets with brackets of about 1 / GRID of the values inside them."""
+    key = [*by, "__i"]
+    inside = src.join(sized(targets), by).filter(F.col("__v").between(F.col("__lo"), F.col("__hi")))
+    marks = F.array(*[F.lit(k / GRID) for k in range(GRID + 1)])
+    sketch = inside.groupBy(*key).agg(F.approx_percentile("__v", marks, F.lit(SKETCH_ACCURACY)).alias("__g"))
+    k = F.floor((F.col("__r") - F.col("__below")) / F.greatest(F.col("__inside") - 1, F.lit(1)) * GRID)
+    slack = 1 + math.ceil(5 * GRID / SKETCH_ACCURACY)  # marks that the sketch may be off
+    closer = targets.join(sized(sketch), key).select(
+        *targets.columns,
+        F.when(k >= slack, F.get("__g", k - slack)).otherwise(F.col("__lo")).alias("__lo2"),
+        F.when(k + slack + 1 <= GRID, F.get("__g", k + slack + 1)).otherwise(F.col("__hi")).alias("__hi2"),
+    )
+    v = F.col("__v")
+    counted = src.join(sized(closer), by).filter(v.between(F.col("__lo"), F.col("__hi"))).groupBy(*closer.columns).agg(
+        F.count_if(v < F.col("__lo2")).alias("__b2"), F.count_if(v.between(F.col("__lo2"), F.col("__hi2"))).alias("__i2"))
+    first = F.col("__below") + F.col("__b2")
+    holds = (first <= F.col("__r")) & (F.least(F.col("__r") + 1, F.col("__n") - 1) < first + F.col("__i2"))
+    pick = lambda new, old: F.when(holds, new).otherwise(F.col(old)).alias(old)
+    new = {"__lo": F.col("__lo2"), "__hi": F.col("__hi2"), "__below": first, "__inside": F.col("__i2")}
+    return counted.select(*[pick(new[c], c) if c in new else F.col(c) for c in targets.columns])
+
+
 def column_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], one_pass: bool | None = None
 ) -> DataFrame:
@@ -260,69 +300,29 @@ def quantiles_of(df: DataFrame, value: str, probs: Sequence[float], one_pass: bo
     return F.array(*[F.lit(x).cast("double") for x in q])
 
 
-def _lead_number(df: DataFrame, name: str) -> Column | None:
-    """Order-preserving double of a numeric or time column, null lowest."""
-    kind, c = df.schema[name].dataType, col(name)
-    if isinstance(kind, T.TimestampNTZType):
-        c = F.unix_micros(c.cast("timestamp"))
-    elif isinstance(kind, T.TimestampType):
-        c = F.unix_micros(c)
-    elif isinstance(kind, T.DateType):
-        c = F.unix_date(c)
-    elif not isinstance(kind, T.NumericType):
-        return None
-    return F.coalesce(c.cast("double"), F.lit(float("-inf")))
-
-
-def _splits(df: DataFrame, value: Column, count: int, by: Sequence[Column] = ()) -> list:
-    probs = F.array(*[F.lit(i / count) for i in range(1, count)])
-    sketch = F.approx_percentile(value, probs, F.lit(SKETCH_ACCURACY)).alias("s")
-    return (df.groupBy(*by) if by else df).agg(sketch).collect()
-
-
 def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Add (__b, __s): a bucket that rises along ``order``.
+    """Add __b: a bucket that rises along ``order``, nulls first.
 
-    Buckets are cut at sketch quantiles of the first order column. A value
-    which alone fills several buckets is cut again along the second one. The
-    cuts (a bounded list of numbers) become literals, so a task that is run
-    again puts its rows into the same buckets.
+    Buckets are the partitions of a range partitioning by all of ``order``,
+    whatever its types; their number follows from the rows. Rows are written
+    with their bucket to the shared folder, so that a task that runs again
+    sees the same buckets.
     """
-    lead = _lead_number(df, order[0])
-    if lead is None:
-        return df.select("*", F.lit(0).alias("__b"), F.lit(0).alias("__s"))
-    found = [x for x in (_splits(df, lead, BUCKETS)[0]["s"] or []) if x is not None and x != float("-inf")]
-    cuts = sorted(set(found))
-    b = df.select("*", lead.alias("__lead"))
-    if cuts:
-        bucketizer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__lead", outputCol="__b")
-        b = bucketizer.transform(b).withColumn("__b", F.col("__b").cast("int"))
-    else:
-        b = b.withColumn("__b", F.lit(0))
-    heavy = [x for x in cuts if found.count(x) > 1]
-    second = _lead_number(df, order[1]) if len(order) > 1 else None
-    sub = F.lit(0)
-    if heavy and second is not None:
-        mine = df.filter(lead.isin(heavy))
-        for r in _splits(mine, second, 64, [lead.alias("__v")]):
-            steps = sum((F.when(second >= x, 1).otherwise(0) for x in sorted(set(r["s"] or []))), F.lit(0))
-            # The heavy value opens its bucket; larger values follow it.
-            sub = F.when(F.col("__lead") == r["__v"], steps).when(
-                (F.col("__lead") > r["__v"]) & (F.col("__b") == cuts.index(r["__v"]) + 1), 10_000).otherwise(sub)
-    return b.select("*", sub.alias("__s")).drop("__lead")
+    spark = _spark(df)
+    count = max(-(-df.count() // BUCKET_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return checkpointed(df.repartitionByRange(count, *[col(o) for o in order]).withColumn("__b", F.spark_partition_id()))
 
 
 def _with_offsets(b: DataFrame, by: list[str], sums: dict[str, Column], sign: int = 1) -> DataFrame:
     """Join to every row the totals of the buckets before its own."""
-    totals = b.groupBy(*by, "__b", "__s").agg(*[F.sum(e).alias(f"__t_{o}") for o, e in sums.items()])
-    place = [F.col("__b") * sign, F.col("__s") * sign]
-    before = Window.partitionBy(*by, F.lit(1)).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy(*by, "__b").agg(*[F.sum(e).alias(f"__t_{o}") for o, e in sums.items()])
+    before = Window.partitionBy(*by, F.lit(1)).orderBy(F.col("__b") * sign).rowsBetween(Window.unboundedPreceding, -1)
     off = totals.select(
-        *[col(k).alias(f"__k_{k}") for k in by], F.col("__b").alias("__kb"), F.col("__s").alias("__ks"),
+        *[col(k).alias(f"__k_{k}") for k in by], F.col("__b").alias("__kb"),
         *[F.coalesce(F.sum(f"__t_{o}").over(before), F.lit(0)).alias(f"__o_{o}") for o in sums],
     )
     # Null-safe on the group keys so that a null group keeps its rows.
-    cond = (b["__b"] == off["__kb"]) & (b["__s"] == off["__ks"])
+    cond = b["__b"] == off["__kb"]
     for k in by:
         cond = cond & b[k].eqNullSafe(off[f"__k_{k}"])
     return b.join(off, cond)
@@ -349,9 +349,9 @@ def running_totals(
     if one_pass:
         whole = Window.partitionBy(*by, F.lit(1)).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(col(i)).over(whole).alias(o) for o, i in sums.items()])
-    b = _placed(df, [order])
+    b = _placed(df, [order, *by])
     joined = _with_offsets(b, by, {o: col(i) for o, i in sums.items()}, -1 if descending else 1)
-    inner = Window.partitionBy(*by, "__b", "__s").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy(*by, "__b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *[col(c) for c in df.columns],
         *[(F.sum(col(i)).over(inner) + F.col(f"__o_{o}")).alias(o) for o, i in sums.items()],
@@ -363,17 +363,16 @@ def row_index(
     one_pass: bool | None = None,
 ) -> DataFrame:
     """1-based row number per group along ``order``, bucket by bucket. The
-    order must be total; its first column has to be numeric or a time for
-    the work to be spread. Small input takes one plain window."""
+    order must be total. Small input takes one plain window."""
     by = list(by)
     if one_pass is None:
         one_pass = fits_one_pass(df)
     if one_pass:
         whole = Window.partitionBy(*by, F.lit(1)).orderBy(*[col(o) for o in order])
         return df.select("*", F.row_number().over(whole).cast("bigint").alias(name))
-    b = _placed(df, order)
+    b = _placed(df, [*order, *by])
     joined = _with_offsets(b, by, {"n": F.lit(1)})
-    inner = Window.partitionBy(*by, "__b", "__s").orderBy(*[col(o) for o in order])
+    inner = Window.partitionBy(*by, "__b").orderBy(*[col(o) for o in order])
     return joined.select(
         *[col(c) for c in df.columns],
         (F.row_number().over(inner) + F.col("__o_n")).cast("bigint").alias(name),

@@ -51,14 +51,26 @@ def page_queue(progress: DataFrame, pages: int, ceiling: int) -> DataFrame:
     return every.join(progress.select("page"), "page", "left_anti").orderBy("page").limit(pages)
 
 
-def upsert_ignore(table: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """INSERT OR IGNORE: rows of a known key are dropped."""
-    return table.unionByName(incoming.join(table.select(key), key, "left_anti").select(table.columns))
+def _one_per_key(rows: DataFrame, key: str, order: str | None, last: bool) -> DataFrame:
+    """The first or last row of each key along ``order``; ties, and rows
+    without an order, are decided by the whole row."""
+    whole = F.struct(*[col(c) for c in rows.columns])
+    by = F.struct(col(order).alias("o"), whole.alias("r")) if order else whole
+    return rows.groupBy(col(key).alias("__key")).agg((F.max_by if last else F.min_by)(whole, by).alias("__r")).select("__r.*")
 
 
-def upsert_replace(table: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """INSERT OR REPLACE: an incoming row takes the place of the stored one."""
-    return table.join(incoming.select(key), key, "left_anti").select(table.columns).unionByName(incoming)
+def upsert_ignore(table: DataFrame, incoming: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """INSERT OR IGNORE: rows of a known key are dropped; of incoming rows with
+    one key the first along ``order`` goes in."""
+    fresh = _one_per_key(incoming, key, order, last=False)
+    return table.unionByName(fresh.join(table.select(key), key, "left_anti").select(table.columns))
+
+
+def upsert_replace(table: DataFrame, incoming: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """INSERT OR REPLACE: an incoming row takes the place of the stored one; of
+    incoming rows with one key the last along ``order`` stays."""
+    fresh = _one_per_key(incoming, key, order, last=True)
+    return table.join(fresh.select(key), key, "left_anti").select(table.columns).unionByName(fresh.select(table.columns))
 
 
 def scan_status(scan: DataFrame) -> DataFrame:
@@ -294,11 +306,17 @@ def approved_keys(proposals: DataFrame) -> DataFrame:
     return proposals.filter(F.col("status") == "approved").select("id", F.from_json("join_keys", "array<string>").alias("keys"))
 
 
-def enrichment_join(base: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join that cannot multiply rows: one side row (the smallest) per key."""
-    rest = [c for c in side.columns if c not in keys]
-    single = side.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__s")).select(*keys, "__s.*")
-    return base.join(single, list(keys), "left")
+def enrichment_join(base: DataFrame, side: DataFrame, keys: Sequence[str], measures: dict[str, Column] | None = None) -> DataFrame:
+    """Left join that cannot multiply rows. With ``measures`` ({name: aggregate})
+    the side is brought to one row per key by them; without, its keys must be
+    unique already, and repeated ones are an error that names how many."""
+    if measures:
+        side = side.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
+    else:
+        twice = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").count()
+        if twice:
+            raise ValueError(f"{twice} keys of the side table occur more than once; give measures that combine their rows")
+    return base.join(side, list(keys), "left")
 
 
 def dataset_route(name: str, df: DataFrame, small: int = 500) -> DataFrame:

@@ -212,8 +212,12 @@ def variance_decomposition(df: DataFrame, target: str, factors: Sequence[str], b
     numeric factors are cut into quantile bins."""
     nums = set(numeric_columns(df))
     y = clean_double(col(target))
+    probs, cuts = [i / bins for i in range(bins + 1)], [f for f in factors if f in nums]
+    # The edges of all factors come from one job.
+    found = {r["column"]: r["q"] for r in column_quantiles(df, cuts, probs).collect()} if cuts else {}
+    edges = {f: F.array(*[F.lit(x).cast("double") for x in found.get(f) or [None] * len(probs)]) for f in cuts}
     cut = df.select(y.alias("__y"), *[
-        quantile_bin(clean_double(col(f)), quantiles_of(df, f, [i / bins for i in range(bins + 1)]), bins + 1).alias(f)
+        quantile_bin(clean_double(col(f)), edges[f], bins + 1).alias(f)
         if f in nums else col(f) for f in factors
     ])
     g = (

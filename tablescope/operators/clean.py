@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.exprs import clean_double, col, numeric_columns
-from ..functions.frames import per_column, quantiles_of
+from ..functions.frames import column_quantiles, per_column
 from .profile import distinct_counts, fences, outlier_condition
 
 
@@ -61,9 +61,12 @@ def mode_of(df: DataFrame, c: str) -> Column:
 def impute_missing(df: DataFrame, strategy: dict[str, str]) -> DataFrame:
     """Per column: impute_median, impute_mode, drop_rows or flag."""
     out, drop = df, []
+    wanted = [c for c, how in strategy.items() if how == "impute_median"]
+    # All medians come from one job; they are literals of the plan.
+    medians = {r["column"]: r["q"][0] for r in column_quantiles(df, wanted, [0.5]).collect() if r["q"]} if wanted else {}
     for c, how in strategy.items():
         if how == "impute_median":
-            out = out.withColumn(c, F.coalesce(col(c), quantiles_of(df, c, [0.5])[0]))
+            out = out.withColumn(c, F.coalesce(col(c), F.lit(medians.get(c)).cast("double")))
         elif how == "impute_mode":
             out = out.withColumn(c, F.coalesce(col(c), mode_of(df, c)))
         elif how == "drop_rows":
@@ -131,28 +134,27 @@ def standardise_categories(df: DataFrame, c: str, mapping: dict[str, str] | None
 def near_duplicate_categories(df: DataFrame, c: str, distance: int = 2) -> DataFrame:
     """Value pairs within an edit distance: value_a, value_b, distance.
 
-    Two values within d edits share a text left after at most d deletions in
-    each, so an equi-join on those shortened texts finds every pair and never
-    compares all values with each other.
+    The shorter value of a pair is cut into distance + 1 pieces; one of them
+    stands in the longer value as it is, at most distance places away. So values
+    meet on (length, piece number, piece) and only those pairs are compared. A
+    value has as many keys as the distance makes, however long it is.
     """
     values = df.filter(col(c).isNotNull()).select(col(c).cast("string").alias("v")).distinct()
-
-    def shorter(texts: Column) -> Column:
-        cut = lambda t: F.when(
-            F.length(t) > 0,
-            F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(
-                F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t)))),
-        ).otherwise(F.array(t))
-        return F.array_distinct(F.flatten(F.transform(texts, cut)))
-
-    level, keys = F.array(F.col("v")), F.array(F.col("v"))
-    for _ in range(distance):
-        level = shorter(level)
-        keys = F.array_union(keys, level)
-    sig = values.select("v", F.explode(keys).alias("k"))
-    a, b = sig.select(F.col("v").alias("value_a"), "k"), sig.select(F.col("v").alias("value_b"), "k")
-    pairs = a.join(b, "k").filter(F.col("value_a") < F.col("value_b")).select("value_a", "value_b").distinct()
-    return pairs.withColumn("distance", F.levenshtein("value_a", "value_b")).filter(F.col("distance") <= distance)
+    d = distance
+    start = lambda i, n: F.floor(i * n / F.lit(d + 1)).cast("int")
+    size = F.length("v")
+    cut = values.select(F.col("v").alias("short"), size.alias("n"), F.explode(F.sequence(F.lit(0), F.lit(d))).alias("i"))
+    cut = cut.withColumn("piece", F.col("short").substr(start(F.col("i"), F.col("n")) + 1, start(F.col("i") + 1, F.col("n")) - start(F.col("i"), F.col("n"))))
+    seek = values.select(F.col("v").alias("long"), size.alias("m"), F.explode(F.sequence(F.greatest(size - d, F.lit(0)), size)).alias("n"))
+    seek = seek.select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("i"))
+    first, width = start(F.col("i"), F.col("n")), start(F.col("i") + 1, F.col("n")) - start(F.col("i"), F.col("n"))
+    seek = seek.select("long", "m", "n", "i", first.alias("s"), width.alias("w"))
+    seek = seek.filter("w <= m").select("long", "n", "i", "w", "m", "s", F.explode(F.sequence(F.lit(-d), F.lit(d))).alias("k"))
+    seek = seek.filter("s + k >= 0 and s + k + w <= m")
+    seek = seek.select("long", "n", "i", F.col("long").substr((F.col("s") + F.col("k") + 1).cast("int"), F.col("w")).alias("piece")).distinct()
+    met = cut.join(seek, ["n", "i", "piece"]).filter(F.col("short") != F.col("long"))
+    pairs = met.select(F.least("short", "long").alias("value_a"), F.greatest("short", "long").alias("value_b")).distinct()
+    return pairs.withColumn("distance", F.levenshtein("value_a", "value_b")).filter(F.col("distance") <= d)
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

@@ -4,23 +4,26 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import clean_double, col, numeric_columns, one, rnd
-from ..functions.frames import pair_fan, unpivot_numeric, unpivot_text
+from ..functions.frames import checkpointed, pair_fan, row_index, unpivot_numeric, unpivot_text
+from ..functions.graph import components
 from .features import levels_of, standardise
 from .profile import distinct_counts
 from .stats import anova_test, matrix, regime_tests
 
 # Name parts of columns which are no cluster features.
 NOT_FEATURES = ["_id", "_flag", "is_outlier", "index"]
-SILHOUETTE_SAMPLE = 5000
 
 
 def feature_pick(df: DataFrame, target: str | None = None) -> DataFrame:
@@ -93,19 +96,45 @@ def _one_component(df: DataFrame, cols: Sequence[str], n: int) -> float:
     return float(-0.5 * n * (len(cols) * (math.log(2 * math.pi) + 1) + logdet))
 
 
+#: Rows of a partition of a frame that is read in many rounds.
+ROUND_ROWS = 100_000
+
+
+def packed(data: DataFrame) -> tuple[DataFrame, int]:
+    """The frame kept for many rounds, and its rows. Few rows lie in few
+    partitions, so that a round is not the start of many empty tasks."""
+    kept = data.persist()
+    n = kept.count()
+    if n >= ROUND_ROWS * kept.rdd.getNumPartitions():
+        return kept, n
+    small = kept.coalesce(-(-n // ROUND_ROWS) or 1).persist()
+    small.count()
+    kept.unpersist()
+    return small, n
+
+
 def _fit_mixture(data: DataFrame, k: int, n: int):
     # The tolerance is per row; Spark compares the log-likelihood of all rows.
     return GaussianMixture(k=k, seed=42, maxIter=100, tol=1e-3 * max(n, 1)).fit(data)
 
 
+def _fit_scan(data: DataFrame, ks: Sequence[int], n: int) -> dict[int, object]:
+    """A mixture for each k. The rounds of one fit follow each other, so the
+    fits run side by side and share the cores."""
+    if not ks:
+        return {}
+    with ThreadPoolExecutor(min(len(ks), 8)) as pool:
+        return dict(zip(ks, pool.map(lambda k: _fit_mixture(data, k, n), ks)))
+
+
 def gmm_labels(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> DataFrame:
     """Mixture labels: id, cluster."""
-    data = vectors(df, cols, [id_col]).persist()
+    data, n = packed(vectors(df, cols, [id_col]))
     try:
-        model = _fit_mixture(data, k, data.count())
+        model = _fit_mixture(data, k, n)
     finally:
         data.unpersist()
-    return model.transform(data).select(id_col, F.col("prediction").alias("cluster"))
+    return model.transform(vectors(df, cols, [id_col])).select(id_col, F.col("prediction").alias("cluster"))
 
 
 def information_criteria(loglik: float, n: int, d: int, k: int) -> tuple[float, float]:
@@ -115,12 +144,13 @@ def information_criteria(loglik: float, n: int, d: int, k: int) -> tuple[float,
 
 def cluster_count_scan(df: DataFrame, cols: Sequence[str], max_k: int = 8) -> DataFrame:
     """n_clusters, bic, aic for 1..max_k components on unscaled columns."""
-    data = vectors(df, cols, []).persist()
-    n, rows = data.count(), []
+    data, n = packed(vectors(df, cols, []))
+    rows = []
     if n == 0:
         return df.sparkSession.createDataFrame([], "n_clusters int, bic double, aic double")
+    fits = _fit_scan(data, range(2, max_k + 1), n)
     for k in range(1, max_k + 1):
-        ll = _one_component(df, cols, n) if k == 1 else _fit_mixture(data, k, n).summary.logLikelihood
+        ll = _one_component(df, cols, n) if k == 1 else fits[k].summary.logLikelihood
         rows.append((k, *information_criteria(ll, n, len(cols), k)))
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "n_clusters int, bic double, aic double")
@@ -128,7 +158,27 @@ def cluster_count_scan(df: DataFrame, cols: Sequence[str], max_k: int = 8) -> Da
 
 # Silhouette
 
-def silhouette(df: DataFrame, id_col: str, cols: Sequence[str], label: str, sample: int = SILHOUETTE_SAMPLE) -> DataFrame:
+def silhouette(df: DataFrame, id_col: str, cols: Sequence[str], label: str, sample: int | None = None) -> DataFrame:
+    """Mean silhouette, noise left out: n, k, silhouette.
+
+    All points count, with squared Euclidean distances: the mean distance of a
+    point to a cluster follows from the cluster's size, sum and sum of squares,
+    so the work is linear in the rows and a cluster costs a few numbers. With
+    ``sample`` the plain Euclidean form runs on that many points instead.
+    """
+    if sample is not None:
+        return sampled_silhouette(df, id_col, cols, label, sample)
+    known = df.filter(F.coalesce(col(label) >= 0, F.lit(False)))
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(col(label)).alias("k")).first()
+    value = None
+    if size["k"] >= 2:
+        points = vectors(known.withColumn("__label", col(label).cast("double")), cols, ["__label"])
+        value = ClusteringEvaluator(predictionCol="__label", distanceMeasure="squaredEuclidean").evaluate(points)
+    out = df.sparkSession.createDataFrame([(size["n"], size["k"], value)], "n bigint, k bigint, silhouette double")
+    return out.withColumn("silhouette", rnd(F.col("silhouette"), 4))
+
+
+def sampled_silhouette(df: DataFrame, id_col: str, cols: Sequence[str], label: str, sample: int) -> DataFrame:
     """Mean Euclidean silhouette of a bounded sample (as many points as the
     parameter says, picked by hash of the id), noise left out.
 
@@ -177,17 +227,16 @@ def silhouette(df: DataFrame, id_col: str, cols: Sequence[str], label: str, samp
 
 def silhouette_scan(df: DataFrame, id_col: str, cols: Sequence[str], max_k: int = 8) -> DataFrame:
     """n_clusters, silhouette, bic, aic for 2..max_k on standardised columns."""
-    z = zscore(df.select(col(id_col), *[col(c) for c in cols]), cols).persist()
-    data = vectors(z, cols, [id_col]).persist()
-    n, rows = data.count(), []
-    for k in range(2, max_k + 1):
-        model = _fit_mixture(data, k, n)
+    data, n = packed(vectors(zscore(df.select(col(id_col), *[col(c) for c in cols]), cols), cols, [id_col]))
+    judge, rows = ClusteringEvaluator(distanceMeasure="squaredEuclidean"), []
+    for k, model in _fit_scan(data, range(2, max_k + 1), n).items():
         bic, aic = information_criteria(model.summary.logLikelihood, n, len(cols), k)
-        labels = model.transform(data).select(id_col, F.col("prediction").alias("__c"))
-        s = silhouette(z.join(labels, id_col), id_col, cols, "__c").first()["silhouette"]
-        rows.append((k, s, round(bic, 1), round(aic, 1)))
+        # The fitted rows carry their features, so labels need no join.
+        tagged = model.transform(data)
+        found = tagged.select("prediction").distinct().limit(2).count()
+        s = judge.evaluate(tagged.withColumn("prediction", F.col("prediction").cast("double"))) if found > 1 else None
+        rows.append((k, None if s is None else round(s, 4), round(bic, 1), round(aic, 1)))
     data.unpersist()
-    z.unpersist()
     return df.sparkSession.createDataFrame(rows, "n_clusters int, silhouette double, bic double, aic double")
 
 
@@ -229,9 +278,11 @@ def kprototypes_labels(df: DataFrame, id_col: str, nums: Sequence[str], cats: Se
             best = counts.groupBy("__l", "column").agg(F.max("n").alias("n")).join(counts, ["__l", "column", "n"]).groupBy("__l", "column").agg(F.min("value").alias("v"))
             mode = {(r["__l"], r["column"]): r["v"] for r in best.collect()}
         new = [(mu.get(i, c[0]), [mode.get((i, name), v) for name, v in zip(cats, c[1])]) for i, c in enumerate(centres)]
-        if new == centres:
-            break
+        # Sums of partitions come in any order, so their last bits do not count.
+        still = all(a[1] == b[1] and all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) for x, y in zip(a[0], b[0])) for a, b in zip(new, centres))
         centres = new
+        if still:
+            break
     out = base.select(col(id_col), label().alias("cluster"))
     base.unpersist()
     return out
@@ -239,6 +290,15 @@ def kprototypes_labels(df: DataFrame, id_col: str, nums: Sequence[str], cats: Se
 
 # Embedding and density
 
+def principal_space(df: DataFrame, id_col: str, cols: Sequence[str], components: int) -> DataFrame:
+    """The first principal components of all columns: id, e0, e1, ..."""
+    data = vectors(df, cols, [id_col]).persist()
+    model = PCA(k=min(components, len(cols)), inputCol="features", outputCol="p").fit(data)
+    data.unpersist()
+    out = model.transform(vectors(df, cols, [id_col])).select(col(id_col), vector_to_array("p").alias("a"))
+    return out.select(col(id_col), *[F.col("a")[i].alias(f"e{i}") for i in range(min(components, len(cols)))])
+
+
 def mixed_embedding(df: DataFrame, id_col: str, nums: Sequence[str], cats: Sequence[str] = (), components: int = 2) -> DataFrame:
     """Linear embedding of mixed columns: id, e0, e1, ... Categories enter as
     indicators weighted by their share of the columns."""
@@ -255,77 +315,58 @@ def mixed_embedding(df: DataFrame, id_col: str, nums: Sequence[str], cats: Seque
     return out.select(col(id_col), *[F.col("a")[i].alias(f"e{i}") for i in range(min(components, len(names)))])
 
 
-MAX_CELLS = 4096
+#: Width of a density cell as a part of each column's range.
+CELL_SHARE = 1 / 16
+MAX_DENSITY_COLUMNS = 8
 
 
-def density_clusters(df: DataFrame, id_col: str, cols: Sequence[str], min_cluster_size: int = 50) -> tuple[DataFrame, dict]:
-    """Density clusters on an equal-width grid: (id, cluster) and an info dict.
+def density_clusters(df: DataFrame, id_col: str, cols: Sequence[str], min_cluster_size: int = 50, cell_share: float = CELL_SHARE) -> tuple[DataFrame, dict]:
+    """Density clusters on a grid of cells: (id, cluster) and an info dict.
 
-    A cell is dense when it and its neighbours hold min_samples points;
-    touching dense cells form a cluster, other cells join a dense neighbour,
-    the rest and clusters under min_cluster_size are noise (-1). Points are
-    only counted per cell, so a crowded cell costs one number.
+    A cell is dense when it holds two points and it and its neighbours hold
+    min_samples; touching dense cells form a cluster, other cells join a dense
+    neighbour, the rest and clusters under min_cluster_size are noise (-1).
+    Only cells with points exist, as rows: their neighbours are met by joins
+    on the cell, clusters are connected components, and nothing but two
+    numbers reaches the driver. The cell width is a parameter and does not
+    depend on the number of rows. A cell has 3 ** columns neighbours, so more
+    than MAX_DENSITY_COLUMNS columns have to be embedded first.
     """
-    spark = df.sparkSession
     cols = list(cols)
-    min_samples = max(5, min_cluster_size // 5)
-    x = {c: clean_double(col(c)) for c in cols}
-    edge = df.agg(F.count(F.lit(1)).alias("n"), *[F.min(x[c]).alias(f"lo{i}") for i, c in enumerate(cols)],
-                  *[F.max(x[c]).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    if 2 ** len(cols) > MAX_CELLS:
+    if len(cols) > MAX_DENSITY_COLUMNS:
         raise ValueError("too many columns for a grid; embed them first")
-    top = int(MAX_CELLS ** (1.0 / len(cols)) + 1e-9)
-    side = max(2, min(top, round((edge["n"] / min_samples) ** (1.0 / len(cols)))))
-    cell = []
+    min_samples, side = max(5, min_cluster_size // 5), max(2, round(1 / cell_share))
+    x = {c: clean_double(col(c)) for c in cols}
+    edge = df.agg(*[F.min(x[c]).alias(f"lo{i}") for i, c in enumerate(cols)], *[F.max(x[c]).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    place = []
     for i, c in enumerate(cols):
         lo, hi = edge[f"lo{i}"] or 0.0, edge[f"hi{i}"] or 0.0
         width = (hi - lo) / side or 1.0
-        cell.append(F.coalesce(F.least(F.floor((x[c] - lo) / width), F.lit(side - 1)), F.lit(0)).cast("int").alias(f"__c{i}"))
-    keys = [f"__c{i}" for i in range(len(cols))]
-    placed = df.select(col(id_col), *cell)
-    # At most MAX_CELLS counts reach the driver.
-    count = {tuple(r[k] for k in keys): r["n"] for r in placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()}
-    cluster = _grid_clusters(count, min_samples, min_cluster_size)
-    rows = [(*k, v) for k, v in cluster.items()]
-    schema = ", ".join(f"{k} int" for k in keys) + ", cluster int"
-    named = F.broadcast(spark.createDataFrame(rows, schema))  # at most MAX_CELLS rows
-    labels = placed.join(named, keys, "left").select(col(id_col), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
-    noise = sum(n for k, n in count.items() if cluster[k] == -1)
-    info = {"n_clusters": len(set(cluster.values()) - {-1}), "noise_pct": round(noise / max(edge["n"], 1), 4), "min_cluster_size": min_cluster_size}
+        place.append(F.coalesce(F.least(F.floor((x[c] - lo) / width), F.lit(side - 1)), F.lit(0)).cast("int"))
+    placed = df.select(col(id_col).alias("__id"), F.array(*place).alias("cell"))
+    cells = checkpointed(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+    steps = F.array(*[F.array(*[F.lit(s) for s in step]) for step in product((-1, 0, 1), repeat=len(cols))])
+
+    def around(d: DataFrame) -> DataFrame:
+        return d.select("*", F.explode(steps).alias("__s")).withColumn("near", F.zip_with("cell", "__s", lambda a, b: a + b)).drop("__s")
+
+    held = around(cells).groupBy(F.col("near").alias("cell")).agg(F.sum("n").alias("held"))
+    dense = checkpointed(cells.filter("n > 1").join(held.filter(F.col("held") >= min_samples), "cell").select("cell"))
+    touching = around(dense).filter("near >= cell").join(dense.select(F.col("cell").alias("near")), "near").select("cell", "near")
+    # A cell also touches itself, so that one alone is a component.
+    parts = components(touching.filter("near > cell"), "cell", "near")
+    group = dense.join(parts, dense.cell == parts.node, "left").select("cell", F.coalesce("component", "cell").alias("group"))
+    joined = around(group.select(F.col("cell"), "group")).groupBy(F.col("near").alias("cell")).agg(F.min("group").alias("other"))
+    named = cells.join(group, "cell", "left").join(joined, "cell", "left").select("cell", "n", F.coalesce("group", "other").alias("group"))
+    sizes = named.filter("group is not null").groupBy("group").agg(F.sum("n").alias("size")).filter(F.col("size") >= min_cluster_size)
+    order = row_index(sizes.withColumn("rank", -F.col("size")), [], ["rank", "group"], "cluster").select("group", (F.col("cluster") - 1).cast("int").alias("cluster"))
+    numbered = checkpointed(named.join(order, "group", "left").select("cell", "n", F.coalesce("cluster", F.lit(-1)).alias("cluster")))
+    labels = placed.join(numbered.select("cell", "cluster"), "cell").select(F.col("__id").alias(id_col), "cluster")
+    s = numbered.agg(F.coalesce(F.max("cluster") + 1, F.lit(0)).alias("k"), F.sum(F.when(F.col("cluster") == -1, F.col("n"))).alias("noise"), F.sum("n").alias("n")).first()
+    info = {"n_clusters": s["k"], "noise_pct": round((s["noise"] or 0) / max(s["n"] or 0, 1), 4), "min_cluster_size": min_cluster_size}
     return labels, info
 
 
-def _grid_clusters(count: dict, min_samples: int, min_size: int) -> dict:
-    from itertools import product
-
-    def around(c):
-        for step in product((-1, 0, 1), repeat=len(c)):
-            yield tuple(a + s for a, s in zip(c, step))
-
-    dense = {c for c in count if sum(count.get(b, 0) for b in around(c)) >= min_samples and count[c] > 1}
-    group: dict = {}
-    for start in sorted(dense):
-        if start in group:
-            continue
-        todo, group[start] = [start], start
-        while todo:
-            for b in around(todo.pop()):
-                if b in dense and b not in group:
-                    group[b] = start
-                    todo.append(b)
-    for c in count:
-        if c not in dense:
-            near = [group[b] for b in around(c) if b in dense]
-            if near:
-                group[c] = min(near)
-    size: dict = {}
-    for c, g in group.items():
-        size[g] = size.get(g, 0) + count[c]
-    order = sorted((g for g in size if size[g] >= min_size), key=lambda g: (-size[g], g))
-    number = {g: i for i, g in enumerate(order)}
-    return {c: number.get(group.get(c), -1) for c in count}
-
-
 # Description and verdict
 
 def cluster_size_check(df: DataFrame, cluster: str, min_share: float = 0.05) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -86,13 +87,27 @@ def auc_score(df: DataFrame, actual: str, score: str, positive=1, one_pass: bool
                    F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
-def auc_one_vs_rest(df: DataFrame, actual: str, scores: dict[str, str]) -> DataFrame:
-    """AUC per class, given {class: column of its score}."""
-    out = None
-    for label, score in scores.items():
-        r = auc_score(df, actual, score, label).select(F.lit(label).alias("class"), "auc")
-        out = r if out is None else out.unionByName(r)
-    return out
+def auc_one_vs_rest(df: DataFrame, actual: str, scores: dict[str, str], one_pass: bool | None = None) -> DataFrame:
+    """AUC per class, given {class: column of its score}. All classes are
+    counted in one pass over the rows."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("class"), clean_double(col(c)).alias("threshold")) for k, c in scores.items()]))
+    long = df.filter(col(actual).isNotNull()).select(col(actual).alias("__y"), each.alias("s")).filter("s.threshold is not null")
+    c = long.groupBy(F.col("s.class").alias("class"), F.col("s.threshold").alias("threshold")).agg(
+        F.count_if(F.col("__y") == F.col("s.class")).alias("pos"), F.count_if(F.col("__y") != F.col("s.class")).alias("neg"))
+    run = running_totals(c, "threshold", {"tp": "pos"}, ["class"], one_pass=one_pass, descending=True)
+    area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos"))) / 2.0
+    return run.groupBy("class").agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+
+
+def tree_curves(fit: TreeModel) -> dict[str, DataFrame]:
+    """ROC points and AUC of the test rows; for two classes those of the second
+    one, for more the area of each class against the rest."""
+    p = vector_to_array("probability")
+    if len(fit.classes) == 2:
+        t = fit.test.select("label", p[1].alias("score"))
+        return {"roc_curve": roc_curve(t, "label", "score", 1.0), "auc": auc_score(t, "label", "score", 1.0)}
+    t = fit.test.select("label", *[p[i].alias(f"s{i}") for i in range(len(fit.classes))])
+    return {"auc": auc_one_vs_rest(t, "label", {float(i): f"s{i}" for i in range(len(fit.classes))})}
 
 
 # Tree models

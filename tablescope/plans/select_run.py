@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exprs import label_columns, numeric_columns, temporal_columns
 from ..operators import models, selection, stats
@@ -79,9 +79,22 @@ def run_models(df: DataFrame, target: str, features: Sequence[str], id_col: str,
     out |= {"tree": tree, "tree_importance": tree.importance(), "tree_summary": tree.summary()}
     if task == "classify":
         out["confusion_matrix"] = models.confusion_matrix(tree.test, "label", "prediction")
+        out |= models.tree_curves(tree)
     else:
         best = tree.importance(1).first()["feature"]
         out["shap_dependence"] = models.shap_dependence(tree, best)
         out["actual_vs_predicted"] = models.actual_vs_predicted(tree)
     return out
 
+
+def result_rows(results: dict[str, object]) -> DataFrame:
+    """All result tables of a run as one: (result, row as JSON text)."""
+    frames = {k: v for k, v in results.items() if isinstance(v, DataFrame)}
+    for k, v in results.items():
+        if isinstance(v, dict):
+            frames |= {f"{k}:{name}": f for name, f in v.items() if isinstance(f, DataFrame)}
+    out = None
+    for name, f in frames.items():
+        rows = f.select(F.lit(name).alias("result"), F.to_json(F.struct("*")).alias("row"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -18,10 +18,16 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     ])
 
 
+#: Set to true where cores stand idle beside small files of one split, as on one machine.
+SPREAD_KEY = "spark.tablescope.spreadSmallFiles"
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan. A small file that cannot be split is spread over the
-    cores once; large inputs have more splits than cores and stay as they are."""
+    """Parquet scan, as it is split. Only a session that asks for it spreads
+    files of fewer splits than cores, at the price of a shuffle."""
     df = spark.read.parquet(path)
+    if spark.conf.get(SPREAD_KEY, "false") != "true":
+        return df
     cores = spark.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 

@@ -28,9 +28,46 @@ def test_row_index(skewed, by):
     assert a.count() == skewed.count() and a.exceptAll(b).count() == 0
 
 
-def test_hot_value_is_spread(skewed):
-    largest = fr._placed(skewed, ["v", "id"]).groupBy("__b", "__s").count().agg(F.max("count")).first()[0]
-    assert largest < skewed.count() / 20
+ORDERS = {"hot value": ["v", "id"], "mostly null": ["n", "id"], "text": ["t"], "text, mostly null": ["tn", "id"]}
+
+
+@pytest.fixture(scope="module")
+def orders(skewed):
+    text = F.concat(F.lit("k"), F.md5(F.col("id").cast("string").cast("binary")))
+    rare = F.col("id") % 10 == 0
+    return skewed.select("*", F.when(rare, F.col("v")).alias("n"), text.alias("t"), F.when(rare, text).alias("tn")).persist()
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_no_bucket_is_large(orders, monkeypatch, order):
+    monkeypatch.setattr(fr, "BUCKET_ROWS", 1000)
+    largest = fr._placed(orders, ORDERS[order]).groupBy("__b").count().agg(F.max("count")).first()[0]
+    assert largest < orders.count() / 12
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_row_index_of_any_order(orders, monkeypatch, order):
+    monkeypatch.setattr(fr, "BUCKET_ROWS", 1000)
+    a = fr.row_index(orders, ["g"], ORDERS[order], one_pass=False).select("id", "row_index")
+    b = fr.row_index(orders, ["g"], ORDERS[order], one_pass=True).select("id", "row_index")
+    assert a.exceptAll(b).count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 200])
+def test_wide_brackets_are_narrowed(skewed, monkeypatch, accuracy):
+    """Few values are ranked in one task, also when the first sketch misses."""
+    monkeypatch.setattr(fr, "MAX_INSIDE", 200)
+    seen = []
+    narrowed = fr._narrowed
+    monkeypatch.setattr(fr, "_narrowed", lambda *a: seen.append(narrowed(*a)) or seen[-1])
+    probs = [0, 0.01, 0.3, 0.5, 0.77, 0.9, 1]
+    a = fr.group_quantiles(skewed, ["g"], "v", probs, True)
+    monkeypatch.setattr(fr, "SKETCH_ACCURACY", accuracy)
+    b = fr.group_quantiles(skewed, ["g"], "v", probs, False).select(a.columns)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    if accuracy < 1000:
+        left = seen[-1].filter("__lo < __hi").agg(F.max("__inside")).first()[0]
+        assert len(seen) > 0 and (left or 0) <= 200
 
 
 @pytest.mark.parametrize("descending", [False, True])

@@ -39,23 +39,33 @@ def _(t):
 
 
 UPS = """a as (select id, format, size_bytes from scan_catalog where format <> 'PDF'),
- b as (select id, 'NEW' as format, size_bytes * 2 as size_bytes from scan_catalog where format <> 'CSV')"""
+ c as (select id, 'NEW' as format, size_bytes * 2 as size_bytes from scan_catalog where format <> 'CSV'
+   union all select id, 'TWICE', size_bytes * 3 from scan_catalog where format <> 'CSV' and page % 3 = 0
+   union all select 'x' || cast(page as varchar), 'KEY', size_bytes from scan_catalog)"""
 
 
 def ups(t):
     s = t.scan_catalog.select("id", "format", "size_bytes")
     new = s.filter("format <> 'CSV'").select("id", F.lit("NEW").alias("format"), (F.col("size_bytes") * 2).alias("size_bytes"))
-    return s.filter("format <> 'PDF'"), new
+    # Keys that come twice, and new keys that come for every row of a page.
+    again = t.scan_catalog.filter("format <> 'CSV' and page % 3 = 0").select("id", F.lit("TWICE").alias("format"), (F.col("size_bytes") * 3).alias("size_bytes"))
+    pages = t.scan_catalog.select(F.concat(F.lit("x"), F.col("page").cast("string")).alias("id"), F.lit("KEY").alias("format"), "size_bytes")
+    return s.filter("format <> 'PDF'"), new.union(again).union(pages)
 
 
-@query("upsert_ignore", f"with {UPS} select * from a union all select * from b where id not in (select id from a)", SC)
+def one_of(last):
+    way = "desc" if last else "asc"
+    return f"b as (select id, format, size_bytes from c qualify row_number() over (partition by id order by size_bytes {way}, format {way}) = 1)"
+
+
+@query("upsert_ignore", f"with {UPS}, {one_of(False)} select * from a union all select * from b where id not in (select id from a)", SC)
 def _(t):
-    return D.upsert_ignore(*ups(t), "id")
+    return D.upsert_ignore(*ups(t), "id", "size_bytes")
 
 
-@query("upsert_replace", f"with {UPS} select * from b union all select * from a where id not in (select id from b)", SC)
+@query("upsert_replace", f"with {UPS}, {one_of(True)} select * from b union all select * from a where id not in (select id from b)", SC)
 def _(t):
-    return D.upsert_replace(*ups(t), "id")
+    return D.upsert_replace(*ups(t), "id", "size_bytes")
 
 
 @query("scan_status", f"with {CLASSIFY} select portal_id, status, count(*) as n from s group by 1, 2", SC)
@@ -269,14 +279,20 @@ def _(t):
     return D.join_key_overlap(t.lineitem, t.part)
 
 
-@query("enrichment_join", """with s as (select s_nationkey, min(s_acctbal) as s_acctbal from supplier group by 1)
- select c_custkey, c_nationkey as nationkey, c_acctbal, s_acctbal as side_balance from customer left join s on s_nationkey = c_nationkey""")
+@query("enrichment_join", """with s as (select s_nationkey, count(*) as n_suppliers, round_even(avg(s_acctbal), 2) as side_balance from supplier group by 1),
+ p as (select p_partkey, p_brand, p_size from part)
+ select l_orderkey, l_linenumber, n_nationkey as nationkey, p_brand, p_size, n_suppliers, side_balance
+ from lineitem left join (select s_suppkey, s_nationkey as n_nationkey from supplier) on s_suppkey = l_suppkey
+ left join s on s_nationkey = n_nationkey left join p on p_partkey = l_partkey""")
 def _(t):
-    base = t.customer.select("c_custkey", F.col("c_nationkey").alias("nationkey"), "c_acctbal")
-    side = t.supplier.select(F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("side_balance"))
+    nations = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nationkey"))
+    base = D.enrichment_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"), nations, ["l_suppkey"])
+    side = t.supplier.select(F.col("s_nationkey").alias("nationkey"), "s_acctbal")
     proposals = t.spark.createDataFrame([("j1", '["nationkey"]', "approved"), ("j2", '["c_custkey"]', "rejected")], "id string, join_keys string, status string")
     keys = D.approved_keys(proposals).first()["keys"]
-    return D.enrichment_join(base, side, keys)
+    wide = D.enrichment_join(base, side, keys, {"n_suppliers": F.count(F.lit(1)), "side_balance": rnd(F.avg("s_acctbal"), 2)})
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_size")
+    return D.enrichment_join(wide, parts, ["l_partkey"]).select("l_orderkey", "l_linenumber", "nationkey", "p_brand", "p_size", "n_suppliers", "side_balance")
 
 
 def route_sql(name, cols, lookup):

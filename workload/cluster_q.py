@@ -8,8 +8,8 @@ from tablescope.plans.views import multi_view_cluster
 
 from .core import query
 
-DIMS = [f"d{i}" for i in range(10)]
-E10, RG, LD = ("emb10",), ("regime",), ("li_dirty",)
+DIMS = [f"d{i}" for i in range(64)]
+E10, RG, LD = ("emb",), ("regime",), ("li_dirty",)
 
 
 @query("cluster_feature_pick", " union all ".join(
@@ -38,19 +38,28 @@ def _(t):
     return d.select("event_id", rnd(F.lit(lam["value"]), 4).alias("lam"), rnd(F.col("value"), 6).alias("value"))
 
 
+def space(t):
+    """Ten principal components of all dimensions: full covariances of all of
+    them need more rows than the smallest tables have."""
+    return K.principal_space(t.emb, "vec_id", DIMS, 10)
+
+
+SPACE = [f"e{i}" for i in range(10)]
+
+
 @query("gmm_labels")
 def _(t):
-    return K.gmm_labels(t.emb10, "vec_id", DIMS, 4)
+    return K.gmm_labels(space(t), "vec_id", SPACE, 4)
 
 
 @query("cluster_count_scan")
 def _(t):
-    return K.cluster_count_scan(t.emb10, DIMS[:4], 5)
+    return K.cluster_count_scan(space(t), SPACE)
 
 
 @query("silhouette_scan")
 def _(t):
-    return K.silhouette_scan(t.emb10, "vec_id", DIMS[:4], 4)
+    return K.silhouette_scan(space(t), "vec_id", SPACE)
 
 
 @query("kprototypes_labels")
@@ -58,12 +67,12 @@ def _(t):
     return K.kprototypes_labels(t.part, "p_partkey", ["p_size", "p_retailprice"], ["p_type", "p_brand"], 4)
 
 
-@query("silhouette_score", "with p as (select a.vec_id, a.label as l, b.label as m, avg(sqrt(" + " + ".join(f"(a.d{i} - b.d{i}) ** 2" for i in range(10)) + """)) as d
-   from emb10 a join emb10 b on a.vec_id <> b.vec_id group by 1, 2, 3),
+@query("silhouette_score", "with p as (select a.vec_id, a.label as l, b.label as m, avg(" + " + ".join(f"(a.d{i} - b.d{i}) ** 2" for i in range(64)) + """) as d
+   from emb a join emb b on a.vec_id <> b.vec_id group by 1, 2, 3),
  s as (select vec_id, coalesce(min(d) filter (where l = m), 0) as a, min(d) filter (where l <> m) as b, count(*) filter (where l = m) as own from p group by vec_id)
- select count(*) as n, (select count(distinct label) from emb10) as k, round_even(avg(case when own = 0 then 0 else (b - a) / greatest(a, b) end), 4) as silhouette from s""", E10)
+ select count(*) as n, (select count(distinct label) from emb) as k, round_even(avg(case when own = 0 then 0 else (b - a) / greatest(a, b) end), 4) as silhouette from s""", E10)
 def _(t):
-    return K.silhouette(t.emb10, "vec_id", DIMS, "label")
+    return K.silhouette(t.emb, "vec_id", DIMS, "label")
 
 
 @query("cluster_size_check", """with g as (select cluster, count(*) as n from regime group by 1), s as (select sum(n) t, min(n) m from g)
@@ -86,31 +95,36 @@ def _(t):
     return embedding(t)
 
 
-@query("density_clusters")
-def _(t):
-    labels, _ = K.density_clusters(t.lineitem.groupBy("l_partkey").agg(F.avg("l_quantity").alias("q"), F.avg("l_extendedprice").alias("p")), "l_partkey", ["q", "p"])
-    return labels
-
-
-@query("density_cluster_sizes", """with recursive p as (select l_partkey as id, avg(l_quantity) as x, avg(l_extendedprice) as y from lineitem group by 1),
- e as (select count(*) n, min(x) xl, max(x) xh, min(y) yl, max(y) yh, greatest(2, least(64, cast(round_even(sqrt(count(*) / 10.0), 0) as int))) as side from p),
- c as (select cast(least(floor((x - xl) / ((xh - xl) / side)), side - 1) as int) as cx, cast(least(floor((y - yl) / ((yh - yl) / side)), side - 1) as int) as cy, count(*) as n from p, e group by 1, 2),
+DENSITY = """with recursive p as (select l_partkey as id, avg(l_quantity) as x, avg(l_extendedprice) as y from lineitem group by 1),
+ e as (select min(x) xl, max(x) xh, min(y) yl, max(y) yh from p),
+ pc as (select id, cast(least(floor((x - xl) / ((xh - xl) / 24)), 23) as int) as cx, cast(least(floor((y - yl) / ((yh - yl) / 24)), 23) as int) as cy from p, e),
+ c as (select cx, cy, count(*) as n from pc group by 1, 2),
  dn as (select a.cx, a.cy, a.n from c a join c b on abs(a.cx - b.cx) <= 1 and abs(a.cy - b.cy) <= 1 group by 1, 2, 3 having sum(b.n) >= 10 and a.n > 1),
  w as (select cx, cy, cx * 100 + cy as g from dn union select d.cx, d.cy, w.g from w join dn d on abs(d.cx - w.cx) <= 1 and abs(d.cy - w.cy) <= 1 where w.g < d.cx * 100 + d.cy),
  gr as (select cx, cy, min(g) as g from w group by 1, 2),
  al as (select c.cx, c.cy, c.n, coalesce(own.g, min(near.g)) as g from c left join gr own using (cx, cy) left join gr near on abs(near.cx - c.cx) <= 1 and abs(near.cy - c.cy) <= 1 group by c.cx, c.cy, c.n, own.g),
- sz as (select g, sum(n) as s from al where g is not null group by 1),
- f as (select case when s >= 50 then al.g end as g, sum(n) as n from al left join sz using (g) group by 1),
- r as (select case when g is null then -1 else row_number() over (partition by g is null order by n desc, g) - 1 end as cluster, n from f)
- select cast(cluster as int) as cluster, cast(n as bigint) as n from r""")
+ sz as (select g, sum(n) as s from al where g is not null group by 1 having sum(n) >= 50),
+ nr as (select g, row_number() over (order by s desc, g) - 1 as cluster from sz),
+ lb as (select pc.id, cast(coalesce(nr.cluster, -1) as int) as cluster from pc join al using (cx, cy) left join nr using (g))"""
+
+
+def density(t):
+    return K.density_clusters(t.lineitem.groupBy("l_partkey").agg(F.avg("l_quantity").alias("q"), F.avg("l_extendedprice").alias("p")), "l_partkey", ["q", "p"], cell_share=1 / 24)[0]
+
+
+@query("density_clusters", DENSITY + " select id as l_partkey, cluster from lb")
+def _(t):
+    return density(t)
+
+
+@query("density_cluster_sizes", DENSITY + " select cluster, count(*) as n from lb group by 1")
 def _(t):
-    labels, _ = K.density_clusters(t.lineitem.groupBy("l_partkey").agg(F.avg("l_quantity").alias("q"), F.avg("l_extendedprice").alias("p")), "l_partkey", ["q", "p"])
-    return labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return density(t).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("multi_view_cluster")
 def _(t):
-    return multi_view_cluster(t.part, "p_partkey", ["p_size", "p_retailprice"], ["p_type"], 3)[0]
+    return multi_view_cluster(t.part, "p_partkey", ["p_size", "p_retailprice"], ["p_type"])[0]
 
 
 @query("cluster_label_names", "select l_orderkey, case cluster when 1 then 'steady' else 'C' || cast(cluster as varchar) end as cluster_label from regime", RG)

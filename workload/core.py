@@ -69,12 +69,12 @@ FIX: dict[str, str | tuple[str, str]] = {
                l_quantity as x, l_extendedprice as price, l_discount as disc, l_tax as tax,
                l_extendedprice * (1 + 0.02 * (case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end) * l_quantity) as target
         from {lineitem}""",
-    "emb10": (
+    "emb": (
         "select vec_id, label, "
-        + ", ".join(f"cast(element_at(embedding, {i + 1}) as double) as d{i}" for i in range(10))
+        + ", ".join(f"cast(element_at(embedding, {i + 1}) as double) as d{i}" for i in range(64))
         + " from {embeddings}",
         "select vec_id, label, "
-        + ", ".join(f"cast(embedding[{i + 1}] as double) as d{i}" for i in range(10))
+        + ", ".join(f"cast(embedding[{i + 1}] as double) as d{i}" for i in range(64))
         + " from {embeddings}",
     ),
     "scored": """

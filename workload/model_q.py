@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tablescope.functions.exprs import rnd
 from tablescope.operators import models as L, selection as X
-from tablescope.plans.select_run import run_models, run_selection
+from tablescope.plans.select_run import result_rows, run_models, run_selection
 
 from .clean_q import r6
 from .core import query
@@ -208,7 +208,7 @@ def _(t):
 
 @query("model_run")
 def _(t):
-    return run_models(t.part, "p_retailprice", ["p_size", "p_partkey", "p_type"], "p_partkey", trees=5)["ols_coefficients"]
+    return result_rows(run_models(t.part, "p_retailprice", ["p_size", "p_partkey", "p_type"], "p_partkey", trees=5))
 
 
 @query("lag_features", "select ts, event_id, value, row_number() over w as row_index, " + ", ".join(f"lag(value, {k}) over w as lag_{k}" for k in range(1, 13)) +
