@@ -15,16 +15,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import map_arrow, slices, table
-from .samples import LONGEST, not_held_out
+from .samples import LONGEST, bounded, not_held_out
 
 FOLDS, HELD_OUT = 3, 1
 GRAM, HASHES = 4, 3
-#: Documents of each language that the filters are filled from (at most LONGEST
-#: bytes each), and occurrences that an n-gram needs among them.
+#: Documents of each language that the filters are filled from, their bytes at
+#: most (the first aside), and occurrences that an n-gram needs among them.
 PER_LANGUAGE, LEAST_COUNT = 1500, 3
+LANGUAGE_BYTES = PER_LANGUAGE * LONGEST
+#: Characters that are hashed at a time, and hashes held until they are counted.
+PIECE, PENDING = 1 << 18, 1 << 22
 UNKNOWN = "und"
 LANGUAGES = 64
 
@@ -99,6 +102,43 @@ class LanguageFilter:
         return out, count
 
 
+def pieces(texts: list[str], size: int = PIECE) -> Iterator[list[str]]:
+    """The texts in lists of about ``size`` characters; longer ones are cut
+    behind a character that is no letter, where there is one."""
+    own, held = [], 0
+    for t in texts:
+        at = 0
+        while at < len(t):
+            end = min(len(t), at + size)
+            if end < len(t):
+                end = next((e for e in range(end, max(at, end - 1000), -1) if not t[e - 1].isalpha()), end)
+            own.append(t[at:end])
+            held, at = held + end - at, end
+            if held >= size:
+                yield own
+                own, held = [], 0
+    if own:
+        yield own
+
+
+def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, occurrences) of the different n-grams of the texts."""
+    values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    waiting: list[np.ndarray] = []
+
+    def counted():
+        new, n = np.unique(np.concatenate(waiting), return_counts=True)
+        both, place = np.unique(np.concatenate([values, new]), return_inverse=True)
+        return both, np.bincount(place, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
+
+    for part in pieces(texts):
+        waiting.append(gram_hashes(part)[0])
+        if sum(map(len, waiting)) >= PENDING:
+            values, counts = counted()
+            waiting = []
+    return counted() if waiting else (values, counts)
+
+
 def build(samples: dict[str, list[str]], least: int = LEAST_COUNT) -> LanguageFilter:
     """Fill the filter from texts by language (a bounded sample, on the driver)."""
     names = sorted(samples)
@@ -106,8 +146,7 @@ def build(samples: dict[str, list[str]], least: int = LEAST_COUNT) -> LanguageFi
         raise ValueError(f"{len(names)} languages; a slot has {LANGUAGES} bits")
     sets = []
     for name in names:
-        grams = [gram_hashes(samples[name][a : a + 100])[0] for a in range(0, len(samples[name]), 100)]
-        values, counts = np.unique(np.concatenate(grams) if grams else np.zeros(0, np.uint64), return_counts=True)
+        values, counts = gram_counts(samples[name])
         common = values[counts >= least]
         sets.append(common if len(common) else values)
     size = 1 << 12
@@ -122,16 +161,16 @@ def build(samples: dict[str, list[str]], least: int = LEAST_COUNT) -> LanguageFi
     return f
 
 
-def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> LanguageFilter:
-    """From at most ``per_language`` documents of each language that are not
-    held out, in order of a hash of their id; texts above LONGEST bytes are
-    left to the others."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(id_col).isNotNull() & not_held_out(id_col, FOLDS, HELD_OUT) & (F.octet_length(text) <= LONGEST))
-    w = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    ids = known.select(F.col(id_col).alias("i"), F.col(lang).alias("l")).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= per_language).select("i").distinct()
+def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text", lang: str = "lang", id_col: str = "doc_id", language_bytes: int = LANGUAGE_BYTES) -> LanguageFilter:
+    """From at most ``per_language`` documents and ``language_bytes`` bytes of
+    each language that are not held out, in order of a hash of their id; texts
+    above LONGEST bytes fill up what shorter ones leave."""
+    known = docs.filter(F.col(lang).isNotNull() & F.col(id_col).isNotNull() & F.col(text).isNotNull() & not_held_out(id_col, FOLDS, HELD_OUT))
+    known = known.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.octet_length(text).alias("b"), F.col(text).alias("t"))
+    ids = bounded(known.select("i", "l", "b"), "l", "i", "b", per_language, language_bytes).distinct()
     if ids.limit(LANGUAGES * per_language + 1).count() > LANGUAGES * per_language:
         raise ValueError(f"more than {LANGUAGES} languages")
-    rows = known.join(F.broadcast(ids), known[id_col] == ids.i).select(F.col(lang).alias("l"), F.col(text).alias("t")).distinct()
+    rows = known.join(F.broadcast(ids), ["i", "l", "b"]).select("l", "t").distinct()
     samples: dict[str, list[str]] = {}
     for r in rows.toLocalIterator():
         samples.setdefault(r["l"], []).append(r["t"])
