@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL of those SQL can express."""
 
-from . import caps, chat, langid, packing, quality, repeats, secrets, simhash, tokens, toxicity
+from . import align, caps, chat, langid, packing, quality, repeats, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_repeats": repeats.op1_repeats,
@@ -13,5 +13,6 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality": quality.op9_quality,
     "op10_simhash": simhash.op10_simhash,
+    "op11_alignment": align.op11_alignment,
 }
 ORACLES = {**chat.ORACLES}

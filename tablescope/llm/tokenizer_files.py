@@ -3,8 +3,11 @@
 import os
 
 try:
-    import public_tokenizers
-
-    WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+    from public_tokenizers import path
 except ModuleNotFoundError:  # elsewhere the folder is named by a variable
-    WORD_BPE = os.path.join(os.environ.get("TOKENIZER_FILES", "/opt/tokenizers"), "word_bpe_49k.json")
+
+    def path(name: str) -> str:
+        return os.path.join(os.environ.get("TOKENIZER_FILES", "/opt/tokenizers"), name)
+
+
+WORD_BPE, BYTE_BPE, PIECE_BPE = map(path, ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
