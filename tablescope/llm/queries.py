@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL of those SQL can express."""
 
-from . import align, caps, chat, langid, packing, quality, repair, repeats, secrets, simhash, tokens, toxicity
+from . import align, caps, chat, langid, licenses, packing, quality, repair, repeats, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_repeats": repeats.op1_repeats,
@@ -15,5 +15,6 @@ QUERIES = {
     "op10_simhash": simhash.op10_simhash,
     "op11_alignment": align.op11_alignment,
     "op12_repair": repair.op12_repair,
+    "op13_licenses": licenses.op13_licenses,
 }
 ORACLES = {**chat.ORACLES}
