@@ -59,7 +59,7 @@ def found(df):
 
 def test_documents_and_odd_texts(spark, docs_of, edges, monkeypatch):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
-    rows += [(i, t[:9000] if t else t) for i, t in edges] + [(900 + k, t) for k, t in enumerate(ODD)]
+    rows += [(i, t[:3000] if t else t) for i, t in edges] + [(900 + k, t) for k, t in enumerate(ODD)]
     docs = docs_of(rows).repartition(3).selectExpr("*", "0 as chunk", "1 as pair", "'x' as links")
     want = sorted(plain(rows), key=str)
     assert found(align.align(docs)) == want
@@ -95,3 +95,14 @@ def test_pair_counts_and_empty_table(spark, docs_of):
     counts = {(r.a, r.b): (r.docs, r.best) for r in align.Alignment(docs_of([(1, "the cat"), (2, "the cat"), (3, "the dog")])).pair_counts().collect()}
     assert sorted(n for n, _ in counts.values()) == [1, 2, 3] and all(best for _, best in counts.values())
     assert align.align(docs_of([])).collect() == []
+
+
+def test_ranks_as_the_library():
+    t = align.loaded(*align.read_files(BYTE_BPE, PIECE_BPE))
+    assert t.ranked is not None
+    for low in range(0, 0x110000, 0x997):
+        chars = [chr(c) for c in range(low, min(low + 0x997, 0x110000)) if not 0xD800 <= c < 0xE000]
+        text = " a" + "b1 ".join(chars) + "2 ".join(chars[::7]) + "".join(chars[::5])
+        assert t.ids_a(text) == t.a.encode(text, add_special_tokens=False).ids
+    long = " " + "x" * align.LONGEST_RANKED
+    assert t.ids_a(long) == t.a.encode(long, add_special_tokens=False).ids
