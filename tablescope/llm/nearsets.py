@@ -23,9 +23,10 @@ from .simhash import shingle_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
-#: Pairs of a bucket are listed once they are at most so many for each member,
-#: or after so many rounds that only compare members with one centre.
-PAIRS_PER_MEMBER, CENTRE_ROUNDS = 16, 4
+#: Rounds in which a member is compared with one centre, before what is still
+#: apart in a bucket is compared within tasks of so many sets of each side. So
+#: few members are compared in full at once; the links are the same.
+CENTRE_ROUNDS, LEFT, RIGHT, FEW = 3, 512, 4096, 10_000
 
 MIX = np.random.default_rng(5).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -96,49 +97,98 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return counted.filter(F.col("both") / (F.col("all") - F.col("both")) >= similarity).select("a", "b")
 
 
+def linked_within(rows: pa.Table, similarity: float) -> pa.Table:
+    """Links (a, b) between parts of one block: every set of the left side
+    against every set of the right side of another part, but for parts that
+    are connected already. At most one link fewer than parts."""
+    i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+    keys, parts = rows.column("key").to_numpy(), rows.column("part").to_numpy()
+    sets = [np.sort(x.values.to_numpy()) for x in rows.column("hashes")]
+    left = np.flatnonzero(rows.column("li").to_numpy() == i)
+    right = np.flatnonzero(rows.column("rj").to_numpy() == j)
+    sizes = np.array([len(sets[k]) for k in right], np.int64)
+    flat, first = np.concatenate([np.zeros(0, np.int64), *[sets[k] for k in right]]), (np.cumsum(sizes) - sizes)
+    _, root = np.unique(parts, return_inverse=True)
+    links = []
+    for x in left.tolist() if len(right) else []:
+        own = sets[x]
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        both = np.add.reduceat(own[at] == flat, first, dtype=np.int64)
+        near = both / (len(own) + sizes - both) >= similarity
+        for y in right[near & (root[right] != root[x])].tolist():
+            if root[y] != root[x]:
+                root[root == root[y]] = root[x]
+                links.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
+    return pa.table([pa.array([k for k, _ in links], pa.int64()), pa.array([k for _, k in links], pa.int64())], names=["a", "b"])
+
+
+def blocks(live: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(bucket, i, j, key, part, li, rj): members of mixed buckets in blocks.
+    All but those of a bucket's largest part are dealt to left blocks, all to
+    right blocks; block (i, j) holds left block i and right block j."""
+    by_part = live.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("m"))
+    main = by_part.groupBy("bucket").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.sum("m").alias("m"), F.max("m").alias("most")).join(mixed, "bucket", "left_semi")
+    met = live.join(main, "bucket").withColumn("ni", F.ceil((F.col("m") - F.col("most")) / LEFT)).withColumn("nj", F.ceil(F.col("m") / RIGHT))
+    deal = lambda n, seed: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(n)).cast("int")
+    met = met.withColumn("li", F.when(F.col("part") != F.col("main"), deal("ni", 1)).otherwise(-1)).withColumn("rj", deal("nj", 2))
+    upto = lambda n: F.sequence(F.lit(0), (F.col(n) - 1).cast("int"))
+    as_left = F.when(F.col("li") >= 0, F.transform(upto("nj"), lambda j: F.struct(F.col("li").alias("i"), j.alias("j")))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    as_right = F.transform(upto("ni"), lambda i: F.struct(i.alias("i"), F.col("rj").alias("j")))
+    return met.select("bucket", "key", "part", "li", "rj", F.explode(F.array_distinct(F.concat(as_left, as_right))).alias("at")).select("bucket", "at.*", "key", "part", "li", "rj")
+
+
 def near_sets(docs: DataFrame, text: str = "text", id_col: str = "doc_id", size: int = SHINGLE, similarity: float = SIMILARITY, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: id, the columns of ``keep`` and ``part``,
     equal for rows reachable over pairs of at least the similarity.
 
     Texts of equal sets are one class; null texts and texts without a word are
     one too, and texts shorter than a shingle are one shingle. Classes meet in
-    buckets of one band. Members of a bucket are compared with its centre while
-    they would make many pairs; then all pairs of a bucket that are not yet
-    connected are compared. So a large group of near-copies costs about its
-    size, and no pair that shares a bucket is left out.
+    buckets of one band; buckets of equal members count once. In each of a few
+    rounds every member of a bucket that is not yet one part is compared with
+    one centre, the one it shares most buckets with, so a large group of
+    near-copies costs about its size. What is still apart then is compared in
+    full inside tasks, with one copy of a set per bucket and block: no pair
+    that shares a bucket is left out, and none becomes a row unless it links.
     """
     own = checkpointed(marks(docs, text, id_col, size, keep))
     classes = own.groupBy("key").agg(F.min(id_col).alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    in_bands = classes.select("key", "n", F.posexplode("bands").alias("band", "value"))
-    shared = in_bands.groupBy("band", "value").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last").select("band", "value")
-    met = checkpointed(in_bands.join(shared, ["band", "value"]).select("key", "n", F.xxhash64("band", "value").alias("bucket")))
+    in_bands = classes.select("key", "n", F.explode("bands").alias("bucket"))
+    # What a bucket holds, as count and two sums of hashes: equal ones are one.
+    held = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), *[F.bit_xor(F.xxhash64("key", F.lit(s))).alias(f"x{s}") for s in (1, 2)]).filter("m > 1")
+    one = held.groupBy("m", "x1", "x2").agg(F.min("bucket").alias("bucket")).select("bucket")
+    met = checkpointed(in_bands.join(one, "bucket"))
     ids = classes.join(met.select("key").distinct(), "key", "left_semi").select(F.col("least").alias(id_col)).distinct()
     sets = shingle_sets(docs.select(id_col, text).join(sized(ids), id_col, "left_semi"), text, size)
     sets = checkpointed(sets.groupBy("key").agg(F.first("hashes").alias("hashes")))
     parts = edges = tested = None
     for turn in range(CENTRE_ROUNDS + 1):
         live = met.withColumn("part", F.col("key")) if parts is None else met.join(parts, "key", "left").withColumn("part", F.coalesce("part", "key"))
-        mixed = live.groupBy("bucket", "part").agg(F.count("*").alias("m")).groupBy("bucket").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("inside"), F.count("*").alias("parts")).filter("parts > 1")
-        mixed = checkpointed(mixed)
-        cost = mixed.agg(F.sum("m").alias("m"), F.sum((F.col("m") * F.col("m") - F.col("inside")) / 2).alias("pairs")).first()
-        if not cost["m"]:
+        live = checkpointed(live)
+        mixed = live.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
+        met = live = checkpointed(live.join(mixed, "bucket", "left_semi"))
+        met = met.drop("part")
+        n = live.count()
+        if not n:
             break
-        last = turn == CENTRE_ROUNDS or cost["pairs"] <= PAIRS_PER_MEMBER * cost["m"]
-        live = live.join(mixed.select("bucket"), "bucket")
+        last = turn == CENTRE_ROUNDS or n <= FEW
         if last:
-            other = live
+            names = ["bucket", "i", "j", "key", "part", "li", "rj"]
+            full = blocks(live, live.select("bucket").distinct()).join(sets, "key").select(*names, "hashes")
+            found = checkpointed(full.groupBy("bucket", "i", "j").applyInArrow(lambda rows: linked_within(rows, similarity), "a bigint, b bigint").distinct())
         else:
-            # The order differs in every round, so that a member meets several centres.
-            centre = F.min_by(F.struct("key", "n", "part"), F.xxhash64("key", "bucket", F.lit(turn)))
-            other = live.groupBy("bucket").agg(centre.alias("c")).select("bucket", "c.*")
-        other = other.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("key", "n", "part")])
-        pairs = live.join(other, "bucket").filter("part <> o_part").filter(F.least("n", "o_n") >= similarity * F.greatest("n", "o_n") - 0.001)
-        pairs = pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        found = checkpointed(verified(pairs, sets, similarity))
-        edges, tested = (found, pairs) if edges is None else (edges.union(found), tested.union(pairs))
+            # The order of centres is another one in every round, and the same in all buckets.
+            centre = F.min_by(F.struct("key", "n", "part"), F.xxhash64("key", F.lit(turn)))
+            other = live.groupBy("bucket").agg(centre.alias("c")).select("bucket", *[F.col(f"c.{c}").alias(f"o_{c}") for c in ("key", "n", "part")])
+            pairs = live.join(other, "bucket").filter("part <> o_part").filter(F.least("n", "o_n") >= similarity * F.greatest("n", "o_n") - 0.001)
+            pairs = pairs.groupBy("key", "o_key").agg(F.count(F.lit(1)).alias("m"))
+            pairs = pairs.select("key", "o_key", "m", F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b"))
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.groupBy("key").agg(F.max_by(F.struct("a", "b"), F.struct("m", "o_key")).alias("p")).select("p.a", "p.b").distinct()
+            pairs = checkpointed(pairs)
+            found = checkpointed(verified(pairs, sets, similarity))
+            tested = pairs if tested is None else checkpointed(tested.union(pairs))
+        edges = found if edges is None else checkpointed(edges.union(found))
         parts = components(edges).select(F.col("node").alias("key"), F.col("component").alias("part"))
         if last:
             break

@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from tablescope.llm import nearsets
 
-from .test_near import groups
+from .test_near import fingerprint, groups
 
 
 def similar(a, b):
@@ -33,20 +33,49 @@ def planted():
     return texts
 
 
-@pytest.mark.parametrize("per_member", [16, 0])
-def test_planted_near_copies(spark, docs_of, monkeypatch, per_member):
-    monkeypatch.setattr(nearsets, "PAIRS_PER_MEMBER", per_member)
+def classes_of(label):
+    return {frozenset(i for i in label if label[i] == c) for c in set(label.values())}
+
+
+@pytest.mark.parametrize("rounds, block", [(3, 4096), (0, 3), (1, 2)])
+def test_planted_near_copies(spark, docs_of, monkeypatch, rounds, block):
+    """Rounds with centres, comparison within tasks, and blocks of both."""
+    monkeypatch.setattr(nearsets, "CENTRE_ROUNDS", rounds)
+    monkeypatch.setattr(nearsets, "LEFT", min(block, 512))
+    monkeypatch.setattr(nearsets, "RIGHT", block)
+    monkeypatch.setattr(nearsets, "FEW", 0)
     texts = planted()
     near = [(a, b) for a in range(len(texts)) for b in range(a) if similar(texts[a], texts[b]) >= 0.8]
     want = groups(range(len(texts)), near)
     assert len(near) > 50 and 25 < len(set(want.values())) < len(texts)
     parts = {r.doc_id: r.part for r in nearsets.near_sets(docs_of(list(enumerate(texts)))).collect()}
-    assert {frozenset(i for i in parts if parts[i] == p) for p in parts.values()} == {frozenset(i for i in want if want[i] == c) for c in want.values()}
-    if per_member:
+    assert classes_of(parts) == classes_of(want)
+    if not rounds:
+        fps = [fingerprint(t) for t in texts]
+        want = groups(range(len(texts)), near + [(a, b) for a in range(len(texts)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 2])
         kept = corpus_pipeline.near_dedup(spark, docs_of(list(enumerate(texts))), "").collect()
         assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
 
 
+def test_large_group_and_templates(spark, docs_of):
+    """600 near-copies of one text, and 120 texts of one template that are
+    only 0.6 alike: the group is one part, the texts stay apart."""
+    rng = random.Random(8)
+    base, form = ([f"{c}{rng.random()}" for _ in range(n)] for c, n in (("b", 200), ("f", 150)))
+    texts = []
+    for k in range(600):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(200)] = f"n{k}"
+        texts.append(" ".join(own))
+    texts += [" ".join(form + [f"t{k}-{j}" for j in range(50)]) for k in range(120)]
+    want = groups(range(len(texts)), [(k, 0) for k in range(1, 600) if similar(texts[k], texts[0]) >= 0.8] + [(k, k - 1) for k in range(1, 600) if similar(texts[k], texts[k - 1]) >= 0.8])
+    assert 0.4 < similar(texts[-1], texts[-2]) < 0.65
+    parts = {r.doc_id: r.part for r in nearsets.near_sets(docs_of(list(enumerate(texts)))).collect()}
+    assert len({parts[k] for k in range(600)}) <= len({want[k] for k in range(600)})
+    assert len({parts[k] for k in range(600, 720)}) == 120
+
+
 def test_bands_find_pairs_at_the_threshold():
     rng = np.random.default_rng(9)
     met = 0
@@ -54,7 +83,7 @@ def test_bands_find_pairs_at_the_threshold():
         x = rng.integers(0, 1 << 63, 110, dtype=np.uint64)
         a, b = np.unique(x[:99]), np.unique(np.r_[x[:88], x[99:]])  # 88 of 110 in common
         met += any(p == q for p, q in zip(nearsets.band_keys(a), nearsets.band_keys(b)))
-    assert met == 300
+    assert met == 120
 
 
 def test_near_sets_edges(spark, docs_of, edges):
