@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescope.llm import langid, nearsets, packing, repeats, secrets
+from tablescope.functions.graph import components
+from tablescope.llm import langid, nearsets, packing, repeats, secrets, simhash
 from tablescope.sources.files import scratch_dir
 
 #: A text of this many characters or more of which less than this share of
@@ -52,15 +53,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies (five words, similarity 0.8)
-    stays: the one of smallest id and, of an id's different texts, the one of
-    smallest hash. Rows without an id cannot be named and stay."""
+    """One document of each group of near-copies stays: the one of smallest id
+    and, of an id's different texts, the one of smallest hash. Near-copies
+    have fingerprints within the radius of SimHash or, as that radius is too
+    small for them, sets of five-word shingles of similarity 0.8 or more. Rows
+    without an id cannot be named and stay."""
     p = Plain(docs)
-    i = p["doc_id"]
-    named = p.df.filter(F.col(i).isNotNull()).withColumn("mark", F.xxhash64(p["text"]))
-    first = nearsets.near_sets(named, p["text"], i, keep=("mark",)).groupBy("part").agg(F.min(F.struct(i, "mark")).alias("least"))
-    kept = named.join(first.select("least.*").distinct(), [i, "mark"], "left_semi").dropDuplicates([i, "mark"]).drop("mark")
-    return p.back(kept.unionByName(p.df.filter(F.col(i).isNull())))
+    named = p.df.filter(F.col(p["doc_id"]).isNotNull()).withColumn("who", F.struct(F.col(p["doc_id"]).alias("id"), F.xxhash64(p["text"]).alias("mark")))
+    by_hash = simhash.near_duplicates(named, p["text"], "who").select("who", F.col("component_id").alias("least"))
+    by_set = nearsets.near_sets(named, p["text"], "who")
+    by_set = by_set.join(by_set.groupBy("part").agg(F.min("who").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "part").select("who", "least")
+    gone = components(by_hash.union(by_set), "who", "least").filter("node <> component").select(F.col("node").alias("who"))
+    kept = named.join(gone, "who", "left_anti").dropDuplicates(["who"]).drop("who")
+    return p.back(kept.unionByName(p.df.filter(F.col(p["doc_id"]).isNull())))
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
