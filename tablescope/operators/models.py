@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.exprs import clean_double, col, label_columns, share
-from ..functions.frames import column_quantiles, row_index, running_totals
+from ..functions.frames import checkpointed, column_quantiles, row_index, running_totals
+from . import boosting
 from .charts import hash_percent
 from .features import levels_of
 from .selection import MAX_CLASSES, _bin
@@ -102,7 +101,7 @@ def auc_one_vs_rest(df: DataFrame, actual: str, scores: dict[str, str], one_pass
 def tree_curves(fit: TreeModel) -> dict[str, DataFrame]:
     """ROC points and AUC of the test rows; for two classes those of the second
     one, for more the area of each class against the rest."""
-    p = vector_to_array("probability")
+    p = F.col("probability")
     if len(fit.classes) == 2:
         t = fit.test.select("label", p[1].alias("score"))
         return {"roc_curve": roc_curve(t, "label", "score", 1.0), "auc": auc_score(t, "label", "score", 1.0)}
@@ -117,7 +116,7 @@ class TreeModel:
     target: str
     features: list[str]
     task: str
-    model: object
+    model: boosting.Boosted
     levels: dict
     classes: list
     test: DataFrame
@@ -128,7 +127,7 @@ class TreeModel:
 
     def importance(self, n: int = 20) -> DataFrame:
         spark = self.test.sparkSession
-        rows = [(f, float(v)) for f, v in zip(self.features, self.model.featureImportances.toArray())]
+        rows = [(f, float(v)) for f, v in zip(self.features, self.model.importances())]
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(n)
 
     def summary(self) -> DataFrame:
@@ -154,16 +153,8 @@ def encode(df: DataFrame, target: str, features: Sequence[str], id_col: str, tas
     return flat.dropna(), levels, classes
 
 
-def assemble(flat: DataFrame, p: int) -> DataFrame:
-    return VectorAssembler(inputCols=[f"x{i}" for i in range(p)], outputCol="features").transform(flat)
-
-
-def _learner(task: str, classes: list, trees: int, depth: int, seed: int):
-    if task == "regress":
-        return GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed)
-    if len(classes) == 2:
-        return GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
+def xs_of(p: int) -> list[str]:
+    return [f"x{i}" for i in range(p)]
 
 
 def _task(df: DataFrame, target: str, task: str) -> str:
@@ -177,34 +168,34 @@ def _metric(scored: DataFrame, task: str) -> float:
 
 
 def fit_tree(df: DataFrame, target: str, features: Sequence[str], id_col: str, task: str = "auto", log_target: bool = False,
-             test_percent: int = 20, trees: int = 20, depth: int = 4, seed: int = 42) -> TreeModel:
-    """Boosted trees (a forest for more than two classes), tested on the rows
-    whose id hashes into the last test_percent."""
+             test_percent: int = 20, trees: int = 100, depth: int = 4) -> TreeModel:
+    """Boosted trees, tested on the rows whose id hashes into the last
+    test_percent. The encoded rows are written once to the checkpoint folder."""
     task = _task(df, target, task)
     flat, levels, classes = encode(df, target, features, id_col, task, log_target)
-    data = assemble(flat, len(features)).withColumn("__test", hash_percent("id") >= 100 - test_percent).persist()
+    xs = xs_of(len(features))
+    data = checkpointed(flat.withColumn("__test", hash_percent("id") >= 100 - test_percent))
     train, test = data.filter(~F.col("__test")), data.filter("__test")
-    model = _learner(task, classes, trees, depth, seed).fit(train.select("label", "features"))
-    scored = model.transform(test).select("id", "label", "prediction", "features", *[f"x{i}" for i in range(len(features))],
-                                          *([] if task == "regress" else ["probability"]))
-    counts = data.groupBy("__test").count().collect()
-    n = {r["__test"]: r["count"] for r in counts}
-    metric = _metric(scored, task)
-    data.unpersist()
+    model = boosting.fit(train, "label", xs, len(classes), trees, depth)
+    scored = checkpointed(model.transform(test, [F.col(x) for x in xs]).select("id", "label", "prediction", *xs, *([] if task == "regress" else ["probability"])))
+    n = {r["__test"]: r["count"] for r in data.groupBy("__test").count().collect()}
     return TreeModel(target, list(features), task, model, levels, classes, scored, n.get(False, 0), n.get(True, 0),
-                     "f1_weighted" if task == "classify" else "r2", metric)
+                     "f1_weighted" if task == "classify" else "r2", _metric(scored, task))
 
 
-def cv_f1(df: DataFrame, target: str, features: Sequence[str], id_col: str, folds: int = 5, trees: int = 10, depth: int = 4) -> DataFrame:
+def cv_f1(df: DataFrame, target: str, features: Sequence[str], id_col: str, folds: int = 5, trees: int = 100, depth: int = 4) -> DataFrame:
     """Weighted F1 per fold and on average; folds by hash of the id."""
     flat, _, classes = encode(df, target, features, id_col, "classify")
     fold = (F.conv(F.substring(F.md5(F.col("id").cast("string").cast("binary")), 9, 8), 16, 10).cast("bigint") % folds).cast("int")
-    data = assemble(flat, len(features)).withColumn("fold", fold).persist()
-    rows = []
-    for k in range(folds):
-        model = _learner("classify", classes, trees, depth, 42).fit(data.filter(F.col("fold") != k).select("label", "features"))
-        rows.append((k, _metric(model.transform(data.filter(F.col("fold") == k)), "classify")))
-    data.unpersist()
+    data, xs = checkpointed(flat.withColumn("fold", fold)), xs_of(len(features))
+
+    def one(k: int) -> tuple[int, float]:
+        model = boosting.fit(data.filter(F.col("fold") != k), "label", xs, len(classes), trees, depth)
+        return k, _metric(model.transform(data.filter(F.col("fold") == k), [F.col(x) for x in xs]), "classify")
+
+    # The jobs of the folds are small; they share the cluster instead of waiting for each other.
+    with ThreadPoolExecutor(folds) as pool:
+        rows = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds)))
     rows.append((None, sum(r[1] for r in rows) / folds))
     return df.sparkSession.createDataFrame(rows, "fold int, f1 double")
 
@@ -226,7 +217,7 @@ def permutation_importance(fit: TreeModel, repeats: int = 5) -> DataFrame:
     giver = row_index(each.select("id", "f", "r", value.alias("v"), order("b").alias("h")), ["f", "r"], ["h", "id"], "rk").select("f", "r", "rk", "v")
     mixed = taker.join(giver, ["f", "r", "rk"]).select(
         "f", "r", "label", *[F.when(F.col("f") == i, F.col("v")).otherwise(F.col(x)).alias(x) for i, x in enumerate(xs)])
-    scored = fit.model.transform(assemble(mixed, p)).select("f", "r", "label", "prediction")
+    scored = fit.model.transform(mixed, [F.col(x) for x in xs]).select("f", "r", "label", "prediction")
     if fit.task == "classify":
         s = classification_scores(scored, "label", "prediction", ["f", "r"]).withColumn("s", F.col("f1"))
     else:
@@ -239,22 +230,16 @@ def permutation_importance(fit: TreeModel, repeats: int = 5) -> DataFrame:
 
 # Attribution
 
-def tree_paths(model, classes: int = 1) -> tuple[list, float | np.ndarray]:
-    """Leaves of the ensemble as (value, [(feature, zero_share, tests)]) and
-    the expected output. A test is (threshold) or a set of left levels."""
+def tree_paths(model: boosting.Boosted) -> tuple[list, np.ndarray]:
+    """Leaves of all trees as (value per output, [(feature, zero_share,
+    tests)]) and the expected output. A test is (threshold, left or not)."""
     leaves = []
-    trees, weights = model.trees, list(model.treeWeights)
-    votes = classes > 2
-    if votes:
-        weights = [1.0 / len(trees)] * len(trees)
-
-    def walk(node, path, weight):
-        if node.getClass().getSimpleName() == "LeafNode":
-            if votes:
-                stats = np.array(list(node.impurityStats().stats()))
-                value = stats / max(stats.sum(), 1e-300) * weight
-            else:
-                value = np.array([node.prediction() * weight])
+
+    def walk(tree: boosting.Tree, node: int, path: list, output: int) -> None:
+        f = tree.feature[node]
+        if f < 0:
+            value = np.zeros(len(model.base))
+            value[output] = tree.value[node]
             merged: dict[int, list] = {}
             for f, z, test in path:
                 m = merged.setdefault(f, [1.0, []])
@@ -262,34 +247,28 @@ def tree_paths(model, classes: int = 1) -> tuple[list, float | np.ndarray]:
                 m[1].append(test)
             leaves.append((value, [(f, z, tests) for f, (z, tests) in merged.items()]))
             return
-        split, total = node.split(), node.impurityStats().count()
-        f = split.featureIndex()
-        if split.getClass().getSimpleName() == "ContinuousSplit":
-            key = ("le", split.threshold())
-        else:
-            key = ("in", frozenset(split.leftCategories()))
-        for child, left in ((node.leftChild(), True), (node.rightChild(), False)):
-            walk(child, path + [(f, child.impurityStats().count() / total, (key, left))], weight)
-
-    for tree, w in zip(trees, weights):
-        walk(tree._call_java("rootNode"), [], w)
-    expected = sum(v * math.prod(z for _, z, _ in path) for v, path in leaves)
+        for child, left in ((tree.left[node], True), (tree.right[node], False)):
+            walk(tree, child, path + [(f, tree.cover[child] / tree.cover[node], (tree.threshold[node], left))], output)
+
+    for trees in model.rounds:
+        for k, tree in enumerate(trees):
+            walk(tree, 0, [], k)
+    expected = sum((v * math.prod(z for _, z, _ in path) for v, path in leaves), model.base)
     return leaves, expected
 
 
 def shap_block(x: np.ndarray, leaves: list) -> np.ndarray:
     """Path-dependent Shapley values, rows x features x outputs."""
     n, p = x.shape
-    out = np.zeros((n, p, len(leaves[0][0])))
+    out = np.zeros((n, p, len(leaves[0][0]) if leaves else 1))
     for value, path in leaves:
         m = len(path)
         if not m:
             continue
         ones = np.ones((n, m))
         for j, (f, _, tests) in enumerate(path):
-            for (kind, ref), left in tests:
-                goes_left = x[:, f] <= ref if kind == "le" else np.isin(x[:, f], list(ref))
-                ones[:, j] *= goes_left == left
+            for threshold, left in tests:
+                ones[:, j] *= (x[:, f] <= threshold) == left
         zeros = np.array([z for _, z, _ in path])
         weight = np.array([math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)])
         for i in range(m):
@@ -310,7 +289,7 @@ def shap_values(fit: TreeModel, rows: DataFrame | None = None) -> DataFrame:
     """id, x array, shap array<array<double>> (feature, output) per row."""
     spark = fit.test.sparkSession
     src = fit.test if rows is None else rows
-    leaves, _ = tree_paths(fit.model, len(fit.classes))
+    leaves, _ = tree_paths(fit.model)
     shared = spark.sparkContext.broadcast(leaves)  # trees x leaves, fixed by the model
     kind = src.schema["id"].dataType.simpleString()
     flat = src.select("id", F.array(*[F.col(f"x{i}") for i in range(len(fit.features))]).alias("x"))

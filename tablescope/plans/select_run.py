@@ -15,10 +15,14 @@ SCORES = "column string, metric string, value double"
 NAMES = {1: "cheap_prune", 2: "correlation_cluster", 3: "pseudo_target", 4: "light_scoring", 5: "shap_scores", 6: "chart_filter"}
 
 
-def run_selection(df: DataFrame, target: str | None = None, id_col: str | None = None, run_shap: bool = False,
-                  trees: int = 20) -> dict[str, DataFrame]:
+def run_selection(df: DataFrame, target: str | None = None, id_col: str | None = None, run_shap: bool = True,
+                  trees: int = 100) -> dict[str, DataFrame]:
     """decisions, stages, scores and retained tables of all stages in order.
 
+    Stage 5 fits trees on rows told apart by ``id_col`` and only scores; with a
+    target and two numeric features it must have that column, unless
+    ``run_shap`` is off.
+
     Every stage is cheaper than the next and sees only the survivors, so the
     scans of later stages read fewer columns.
     """
@@ -47,7 +51,9 @@ def run_selection(df: DataFrame, target: str | None = None, id_col: str | None =
             scores += [(r["column"], "mutual_info", r["mutual_info"]), (r["column"], "target_corr", r["target_corr"])]
         close(4, fourth)
         feats = [c for c in alive if c in numeric_columns(df) and c not in (target, id_col)]
-        if run_shap and len(feats) >= 2 and id_col:
+        if run_shap and len(feats) >= 2:
+            if id_col is None:
+                raise ValueError("stage 5 needs id_col; set run_shap=False to leave it out")
             fit = models.fit_tree(df.fillna(0, feats), target, feats, id_col, trees=trees)
             scores += [(r["feature"], "shap", round(r["mean_abs_shap"], 6)) for r in models.shap_importance(fit).collect()]
             close(5, [])
@@ -61,7 +67,7 @@ def run_selection(df: DataFrame, target: str | None = None, id_col: str | None =
     }
 
 
-def run_models(df: DataFrame, target: str, features: Sequence[str], id_col: str, task: str = "auto", trees: int = 20) -> dict[str, object]:
+def run_models(df: DataFrame, target: str, features: Sequence[str], id_col: str, task: str = "auto", trees: int = 200) -> dict[str, object]:
     """Models by task: a linear model on the log target and trees for a number,
     trees with confusion matrix and curves for classes."""
     times = set(temporal_columns(df))

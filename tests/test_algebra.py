@@ -100,7 +100,7 @@ def test_shapley_values(df):
         for v, path in leaves:
             p = 1.0
             for f, z, tests in path:
-                ok = all((row[f] <= ref) == left for (_, ref), left in tests)
+                ok = all((row[f] <= ref) == left for ref, left in tests)
                 p *= float(ok) if f in known else z
             total += v[0] * p
         return total

@@ -1,13 +1,15 @@
 """Selection and model queries."""
 
-from pyspark.sql import functions as F
+from functools import lru_cache
+
+from pyspark.sql import SparkSession, functions as F
 
 from tablescope.functions.exprs import rnd
 from tablescope.operators import models as L, selection as X
 from tablescope.plans.select_run import result_rows, run_models, run_selection
 
 from .clean_q import r6
-from .core import query
+from .core import Tables, query
 from .profile_q import ALL, NUM, PAIRS, TEXT, corr_sql
 
 LD, DL, SCORED = ("li_dirty",), ("docs_labelled",), ("scored",)
@@ -95,24 +97,28 @@ def _(t):
 @query("select_stage5")
 def _(t):
     """Mean absolute attribution of the numeric features."""
-    fit = L.fit_tree(t.events.withColumn("hour", F.hour("ts")), "event_type", ["value", "user_id", "hour"], "event_id", trees=5, depth=3)
+    fit = L.fit_tree(t.events.withColumn("hour", F.hour("ts")), "event_type", ["value", "user_id", "hour"], "event_id", trees=100, depth=3)
     return L.shap_importance(fit)
 
 
+def with_row_id(lines):
+    return lines.withColumn("row_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+
+
 @query("selection_full_run")
 def _(t):
-    return run_selection(t.li_dirty, "charge")["decisions"]
+    return run_selection(with_row_id(t.li_dirty), "charge", "row_id")["decisions"]
 
 
 @query("selection_scores")
 def _(t):
     d = t.part.withColumn("half_size", F.col("p_size") / 2 + F.col("p_partkey") % 3)
-    return run_selection(d, "p_retailprice", "p_partkey", run_shap=True, trees=5)["scores"]
+    return run_selection(d, "p_retailprice", "p_partkey")["scores"]
 
 
 @query("selection_waterfall")
 def _(t):
-    return run_selection(t.li_dirty, "charge")["stages"]
+    return run_selection(with_row_id(t.li_dirty), "charge", "row_id")["stages"]
 
 
 @query("infer_task", """select 'quality' as target, count(distinct quality) as n_unique, case when count(distinct quality) <= 20 then 'classify' else 'regress' end as task from docs_labelled
@@ -166,8 +172,15 @@ def _(t):
     return r6(L.r2_score(t.li_dirty, "charge", "revenue"), "r2")
 
 
-def price_fit(t, trees=5):
-    return L.fit_tree(t.part, "p_retailprice", ["p_size", "p_partkey", "p_type"], "p_partkey", trees=trees, depth=3, log_target=True)
+@lru_cache(maxsize=2)
+def fitted_prices(app, sf_dir):
+    """One model for all questions asked of it in a session."""
+    part = Tables(SparkSession.active(), sf_dir).part
+    return L.fit_tree(part, "p_retailprice", ["p_size", "p_partkey", "p_type"], "p_partkey", trees=200, depth=3, log_target=True)
+
+
+def price_fit(t):
+    return fitted_prices(t.spark.sparkContext.applicationId, t.sf_dir)
 
 
 @query("tree_importance")
@@ -183,7 +196,7 @@ def _(t):
 @query("cv_f1")
 def _(t):
     d = t.events.withColumn("big", F.when(F.col("value") > 20, "yes").otherwise("no")).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return L.cv_f1(d, "big", ["user_id", "k"], "event_id", trees=3, depth=3)
+    return L.cv_f1(d, "big", ["user_id", "k"], "event_id", trees=100, depth=3)
 
 
 @query("permutation_importance")
@@ -208,7 +221,7 @@ def _(t):
 
 @query("model_run")
 def _(t):
-    return result_rows(run_models(t.part, "p_retailprice", ["p_size", "p_partkey", "p_type"], "p_partkey", trees=5))
+    return result_rows(run_models(t.part, "p_retailprice", ["p_size", "p_partkey", "p_type"], "p_partkey"))
 
 
 @query("lag_features", "select ts, event_id, value, row_number() over w as row_index, " + ", ".join(f"lag(value, {k}) over w as lag_{k}" for k in range(1, 13)) +
