@@ -131,16 +131,29 @@ def standardise_categories(df: DataFrame, c: str, mapping: dict[str, str] | None
     return df.withColumn(c, out)
 
 
-def near_duplicate_categories(df: DataFrame, c: str, distance: int = 2) -> DataFrame:
-    """Value pairs within an edit distance: value_a, value_b, distance.
-
-    The shorter value of a pair is cut into distance + 1 pieces; one of them
-    stands in the longer value as it is, at most distance places away. So values
-    meet on (length, piece number, piece) and only those pairs are compared. A
-    value has as many keys as the distance makes, however long it is.
-    """
-    values = df.filter(col(c).isNotNull()).select(col(c).cast("string").alias("v")).distinct()
-    d = distance
+#: Values up to this length meet by what is left of them after deletions.
+SHORT = 48
+
+
+def met_by_deletions(values: DataFrame, d: int) -> DataFrame:
+    """(short, long): values that become the same by at most d deletions from
+    each. What all values have in common (a prefix, a code's form) joins
+    nothing by itself: a bucket holds values that differ in d places."""
+    left = F.array("v")
+    forms = left
+    for _ in range(d):
+        left = F.array_distinct(F.flatten(F.transform(left, lambda x: F.transform(
+            F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x)))))))
+        left = F.filter(left, lambda x: x.isNotNull())
+        forms = F.array_union(forms, left)
+    keyed = values.select("v", F.explode(F.transform(forms, lambda x: F.xxhash64(x))).alias("key")).distinct()
+    other = keyed.select(F.col("v").alias("long"), "key")
+    return keyed.join(other, "key").filter("v < long").select(F.col("v").alias("short"), "long")
+
+
+def met_by_pieces(values: DataFrame, d: int) -> DataFrame:
+    """(short, long): values of which a piece of the shorter one stands in the
+    longer one, at most d places away."""
     start = lambda i, n: F.floor(i * n / F.lit(d + 1)).cast("int")
     size = F.length("v")
     cut = values.select(F.col("v").alias("short"), size.alias("n"), F.explode(F.sequence(F.lit(0), F.lit(d))).alias("i"))
@@ -152,9 +165,24 @@ def near_duplicate_categories(df: DataFrame, c: str, distance: int = 2) -> DataF
     seek = seek.filter("w <= m").select("long", "n", "i", "w", "m", "s", F.explode(F.sequence(F.lit(-d), F.lit(d))).alias("k"))
     seek = seek.filter("s + k >= 0 and s + k + w <= m")
     seek = seek.select("long", "n", "i", F.col("long").substr((F.col("s") + F.col("k") + 1).cast("int"), F.col("w")).alias("piece")).distinct()
-    met = cut.join(seek, ["n", "i", "piece"]).filter(F.col("short") != F.col("long"))
+    return cut.join(seek, ["n", "i", "piece"]).filter(F.col("short") != F.col("long")).select("short", "long")
+
+
+def near_duplicate_categories(df: DataFrame, c: str, distance: int = 2) -> DataFrame:
+    """Value pairs within an edit distance: value_a, value_b, distance.
+
+    Two values within d edits have a form in common that each reaches by at
+    most d deletions, so values meet on hashes of these forms. That makes a
+    value of n characters some n ** d / 2 keys; values longer than SHORT meet
+    on pieces instead: the shorter one of a pair is cut into distance + 1
+    pieces, one of which stands in the longer one as it is, at most distance
+    places away. Only values that meet are compared.
+    """
+    values = df.filter(col(c).isNotNull()).select(col(c).cast("string").alias("v")).distinct()
+    size = F.length("v")
+    met = met_by_deletions(values.filter(size <= SHORT), distance).union(met_by_pieces(values.filter(size > SHORT - distance), distance))
     pairs = met.select(F.least("short", "long").alias("value_a"), F.greatest("short", "long").alias("value_b")).distinct()
-    return pairs.withColumn("distance", F.levenshtein("value_a", "value_b")).filter(F.col("distance") <= d)
+    return pairs.withColumn("distance", F.levenshtein("value_a", "value_b")).filter(F.col("distance") <= distance)
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

@@ -351,7 +351,8 @@ def lag_scores(df: DataFrame, order: Sequence[str], value: str, label: str, max_
     """How well each lag alone predicts a 0/1 label over expanding folds.
 
     The learner is a step function over quantile bins of the lagged value,
-    so all lags and folds are fitted from one table of counts. A fold with
+    so all lags and folds are fitted from one table of counts. The edges are
+    quantiles of the value over the rows before the first test fold. A fold with
     only one class scores 0.5.
     """
     lags = lag_features(df, order, value, max_lag, [label])
@@ -362,7 +363,9 @@ def lag_scores(df: DataFrame, order: Sequence[str], value: str, label: str, max_
     first = n - splits * size
     pos = F.col("row_index") - max_lag  # complete rows follow each other
     part = F.when(pos <= first, 0).otherwise(F.least(F.floor((pos - first - 1) / max(size, 1)) + 1, F.lit(splits))).cast("int")
-    edges = column_quantiles(df.select(col(value)), [value], [i / bins for i in range(bins + 1)]).first()["q"] or [0.0]
+    # The first part trains every fold; no row that is ever tested moves an edge.
+    known = full.select(col(value).alias("v"), part.alias("part")).filter("part = 0").select("v")
+    edges = column_quantiles(known, ["v"], [i / bins for i in range(bins + 1)]).first()["q"] or [0.0]
     cells = F.array(*[F.struct(F.lit(k).alias("lag"), _bin(clean_double(F.col(f"lag_{k}")), edges).alias("bin")) for k in range(1, max_lag + 1)])
     counts = full.select(part.alias("part"), col(label).cast("int").alias("y"), F.explode(cells).alias("c")).groupBy("part", "c.lag", "c.bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))

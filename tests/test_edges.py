@@ -116,3 +116,29 @@ def test_files(spark, tmp_path):
     assert [tuple(x) for x in d.orderBy("a").collect()] == [(1, None), (2, 3.5)]
     S.write_csv(d, str(tmp_path / "out"))
     assert S.read_csv(spark, str(tmp_path / "out"), "a int, b double").count() == 2
+
+
+def test_a_common_prefix_joins_nothing(spark):
+    """Codes of one form: what meets is near the number of true pairs."""
+    step = 7919  # any two codes differ in several digits
+    codes = spark.range(20_000).selectExpr(f"concat('Customer#', lpad(cast((id * {step} * 1009) % 1000000007 as string), 10, '0')) as v")
+    met = C.met_by_deletions(codes, 2)
+    near = met.distinct().filter(F.levenshtein("short", "long") <= 2).count()
+    assert 0 < near <= met.count() <= 5 * 20_000
+
+
+def test_long_values_meet_on_pieces(spark):
+    base = "x" * 30 + "abcdefghij" * 3
+    words = [base, base[:-1], base + "k", base[:10] + "?" + base[11:], base[5:], base[: C.SHORT], base[: C.SHORT + 1], base[: C.SHORT - 1]]
+    got = {(r.value_a, r.value_b, r.distance) for r in C.near_duplicate_categories(spark.createDataFrame([(w,) for w in words], "w string"), "w").collect()}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+            row = new
+        return row[-1]
+
+    assert got == {(a, b, edits(a, b)) for a in words for b in words if a < b and edits(a, b) <= 2}

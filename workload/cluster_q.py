@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablescope.functions.exprs import rnd
-from tablescope.operators import cluster as K
+from tablescope.operators import cluster as K, density as D
 from tablescope.plans.views import multi_view_cluster
 
 from .core import query
@@ -122,6 +122,25 @@ def _(t):
     return density(t).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
+PARTS_SQL = "p as (select l_partkey, avg(l_quantity) as q, avg(l_extendedprice) / 1000 as p from lineitem group by 1)"
+
+
+def distance_clusters(t):
+    parts = t.lineitem.groupBy("l_partkey").agg(F.avg("l_quantity").alias("q"), (F.avg("l_extendedprice") / 1000).alias("p"))
+    return D.dbscan(parts, "l_partkey", ["q", "p"], 0.75, 8, 20)
+
+
+@query("dbscan_clusters")
+def _(t):
+    return distance_clusters(t)
+
+
+@query("dbscan_core_points", f"""with {PARTS_SQL} select a.l_partkey, count(*) >= 8 as core
+ from p a join p b on power(a.q - b.q, 2) + power(a.p - b.p, 2) <= 0.5625 group by 1""")
+def _(t):
+    return distance_clusters(t).select("l_partkey", "core")
+
+
 @query("multi_view_cluster")
 def _(t):
     return multi_view_cluster(t.part, "p_partkey", ["p_size", "p_retailprice"], ["p_type"])[0]

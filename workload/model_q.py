@@ -232,10 +232,10 @@ def _(t):
 
 @query("lag_scores", """with w as (select value as v, cast(event_type = 'click' as int) as y, row_number() over o as rn, """ + ", ".join(f"lag(value, {k}) over o as l{k}" for k in range(1, 13)) + """
    from events window o as (order by ts, event_id)),
- e as (select list_sort(list_distinct(quantile_cont(value, [""" + ", ".join(repr(i / 16) for i in range(17)) + """]))) as es from events),
  c as (select *, rn - 12 as pos, (select count(*) - 12 from w) as n from w where rn > 12),
  z as (select *, n // 6 as sz, n - 5 * (n // 6) as f0 from c),
  p as (select *, cast(case when pos <= f0 then 0 else least((pos - f0 - 1) // sz + 1, 5) end as int) as part from z),
+ e as (select list_sort(list_distinct(quantile_cont(v, [""" + ", ".join(repr(i / 16) for i in range(17)) + """]))) as es from p where part = 0),
  b as (select part, y, lag, greatest(len(list_filter(es[1:len(es) - 1], lambda q: q < v)), 1) as bin from (
    """ + " union all ".join(f"select part, y, {k} as lag, l{k} as v from p" for k in range(1, 13)) + """), e),
  k as (select part, lag, bin, count(*) as n, sum(y) as pos from b group by 1, 2, 3),
