@@ -46,6 +46,7 @@ def two_track_outcome(final_keep: DataFrame, overrides: DataFrame, dropped: Data
     d = dropped.groupBy(*key).agg(F.min_by(F.struct("stage", "stage_name", "reason"), "stage").alias("d"))
     j = k.join(o, key, "full_outer").join(d, key, "full_outer")
     action = F.col("o.action")
+    # The outcome strings.
     stage = F.concat(F.lit("dropped — S"), F.coalesce(F.col("d.stage").cast("string"), F.lit("?")),
                      F.lit(" "), F.coalesce("d.stage_name", F.lit("")))
     kept = F.when(F.col("structural"), "kept — Track B (structural)").when(~F.col("structural"), "kept — Track A (predictive)")

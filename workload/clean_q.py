@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tablescope.functions.exprs import rnd
 from tablescope.operators import clean as C, features as E
 from tablescope.operators.profile import numeric_columns, per_column
-from tablescope.plans.replay import Step, replay
+from tablescope.plans.replay import Step, replay, replay_written
 
 from .core import query
 
@@ -271,3 +271,13 @@ def _(t):
     filled = per_column(done, numeric_columns(done), {"filled_rows": F.count("value")})
     rows = log.select("position", "step_name", "action", F.explode_outer("columns_added").alias("column"), "result")
     return rows.join(filled, "column", "left").select("position", "step_name", "action", "column", "result", "filled_rows")
+
+
+@query("replay_written_steps", """select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, round_even(p_retailprice / nullif(p_size, 0), 6) as price_per_size,
+ round_even(ln(1 + p_size), 6) as log_size from part""")
+def _(t):
+    """Like replay_steps, with a step that fails on the row of greatest key."""
+    most = t.part.agg(F.max("p_partkey")).first()[0]
+    fails = Step("step_04_row", lambda d: d.withColumn("bad", F.when(F.col("p_partkey") == most, F.raise_error(F.lit("row")).cast("int"))))
+    done, _ = replay_written(t.part, [*STEPS[:1], fails, *STEPS[1:]], f"{t.sf_dir}/part {most}")
+    return r6(done, "price_per_size", "log_size")
