@@ -4,23 +4,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import clean_double, col, numeric_columns, one, rnd
-from ..functions.frames import checkpointed, pair_fan, row_index, unpivot_numeric, unpivot_text
+from ..functions.frames import checkpointed, row_index, unpivot_numeric, unpivot_text
 from ..functions.graph import components
+from . import mixture
 from .features import levels_of, standardise
 from .profile import distinct_counts
-from .stats import anova_test, matrix, regime_tests
+from .stats import anova_test, regime_tests
 
 # Name parts of columns which are no cluster features.
 NOT_FEATURES = ["_id", "_flag", "is_outlier", "index"]
@@ -87,73 +86,26 @@ def vectors(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFram
 
 # Mixtures
 
-def _one_component(df: DataFrame, cols: Sequence[str], n: int) -> float:
-    """Log-likelihood of the single Gaussian, from the covariance matrix."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    fan = pair_fan(df, [F.coalesce(clean_double(col(c)), F.lit(0.0)) for c in cols], pairs)
-    cov = matrix(fan.groupBy("i", "j").agg(F.covar_pop("x", "y").alias("c")), len(cols), "c")
-    _, logdet = np.linalg.slogdet(cov + 1e-6 * np.eye(len(cols)))
-    return float(-0.5 * n * (len(cols) * (math.log(2 * math.pi) + 1) + logdet))
+def gmm_labels(df: DataFrame, id_col: str, cols: Sequence[str], k: int, form: str = "full") -> DataFrame:
+    """Mixture labels: id, cluster (0 is the heaviest component). Null and
+    non-finite values count as 0; an empty table gives no rows."""
+    p = mixture.points(df, cols)
+    models = mixture.fit(p, [k], form)
+    p.release()
+    if not models:
+        return df.select(col(id_col), F.lit(0).alias("cluster")).limit(0)
+    return df.select(col(id_col), models[k].label_of(cols).alias("cluster"))
 
 
-#: Rows of a partition of a frame that is read in many rounds.
-ROUND_ROWS = 100_000
+COUNT_SCHEMA = "n_clusters int, bic double, aic double"
 
 
-def packed(data: DataFrame) -> tuple[DataFrame, int]:
-    """The frame kept for many rounds, and its rows. Few rows lie in few
-    partitions, so that a round is not the start of many empty tasks."""
-    kept = data.persist()
-    n = kept.count()
-    if n >= ROUND_ROWS * kept.rdd.getNumPartitions():
-        return kept, n
-    small = kept.coalesce(-(-n // ROUND_ROWS) or 1).persist()
-    small.count()
-    kept.unpersist()
-    return small, n
-
-
-def _fit_mixture(data: DataFrame, k: int, n: int):
-    # The tolerance is per row; Spark compares the log-likelihood of all rows.
-    return GaussianMixture(k=k, seed=42, maxIter=100, tol=1e-3 * max(n, 1)).fit(data)
-
-
-def _fit_scan(data: DataFrame, ks: Sequence[int], n: int) -> dict[int, object]:
-    """A mixture for each k. The rounds of one fit follow each other, so the
-    fits run side by side and share the cores."""
-    if not ks:
-        return {}
-    with ThreadPoolExecutor(min(len(ks), 8)) as pool:
-        return dict(zip(ks, pool.map(lambda k: _fit_mixture(data, k, n), ks)))
-
-
-def gmm_labels(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> DataFrame:
-    """Mixture labels: id, cluster."""
-    data, n = packed(vectors(df, cols, [id_col]))
-    try:
-        model = _fit_mixture(data, k, n)
-    finally:
-        data.unpersist()
-    return model.transform(vectors(df, cols, [id_col])).select(id_col, F.col("prediction").alias("cluster"))
-
-
-def information_criteria(loglik: float, n: int, d: int, k: int) -> tuple[float, float]:
-    free = k * d + k * d * (d + 1) // 2 + k - 1
-    return free * math.log(n) - 2 * loglik, 2 * free - 2 * loglik
-
-
-def cluster_count_scan(df: DataFrame, cols: Sequence[str], max_k: int = 8) -> DataFrame:
+def cluster_count_scan(df: DataFrame, cols: Sequence[str], max_k: int = 8, form: str = "full") -> DataFrame:
     """n_clusters, bic, aic for 1..max_k components on unscaled columns."""
-    data, n = packed(vectors(df, cols, []))
-    rows = []
-    if n == 0:
-        return df.sparkSession.createDataFrame([], "n_clusters int, bic double, aic double")
-    fits = _fit_scan(data, range(2, max_k + 1), n)
-    for k in range(1, max_k + 1):
-        ll = _one_component(df, cols, n) if k == 1 else fits[k].summary.logLikelihood
-        rows.append((k, *information_criteria(ll, n, len(cols), k)))
-    data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "n_clusters int, bic double, aic double")
+    p = mixture.points(df, cols)
+    rows = [(k, *m.criteria(p.n)) for k, m in mixture.fit(p, range(1, max_k + 1), form).items()]
+    p.release()
+    return df.sparkSession.createDataFrame(rows, COUNT_SCHEMA)
 
 
 # Silhouette
@@ -225,18 +177,17 @@ def sampled_silhouette(df: DataFrame, id_col: str, cols: Sequence[str], label: s
     return scored.agg(F.count(F.lit(1)).alias("n"), F.lit(len(labels)).cast("bigint").alias("k"), rnd(F.avg("s"), 4).alias("silhouette"))
 
 
-def silhouette_scan(df: DataFrame, id_col: str, cols: Sequence[str], max_k: int = 8) -> DataFrame:
-    """n_clusters, silhouette, bic, aic for 2..max_k on standardised columns."""
-    data, n = packed(vectors(zscore(df.select(col(id_col), *[col(c) for c in cols]), cols), cols, [id_col]))
-    judge, rows = ClusteringEvaluator(distanceMeasure="squaredEuclidean"), []
-    for k, model in _fit_scan(data, range(2, max_k + 1), n).items():
-        bic, aic = information_criteria(model.summary.logLikelihood, n, len(cols), k)
-        # The fitted rows carry their features, so labels need no join.
-        tagged = model.transform(data)
-        found = tagged.select("prediction").distinct().limit(2).count()
-        s = judge.evaluate(tagged.withColumn("prediction", F.col("prediction").cast("double"))) if found > 1 else None
-        rows.append((k, None if s is None else round(s, 4), round(bic, 1), round(aic, 1)))
-    data.unpersist()
+def silhouette_scan(df: DataFrame, id_col: str, cols: Sequence[str], max_k: int = 8, form: str = "full") -> DataFrame:
+    """n_clusters, silhouette, bic, aic for 2..max_k on standardised columns.
+    All sizes are fitted and judged together: one scan a round, two for the
+    silhouettes."""
+    p = mixture.points(zscore(df.select(*[col(c) for c in cols]), cols), cols)
+    models = mixture.fit(p, range(2, max_k + 1), form)
+    judged, rows = mixture.silhouettes(p, models), []
+    for k, m in models.items():
+        bic, aic = m.criteria(p.n)
+        rows.append((k, None if judged[k] is None else round(judged[k], 4), round(bic, 1), round(aic, 1)))
+    p.release()
     return df.sparkSession.createDataFrame(rows, "n_clusters int, silhouette double, bic double, aic double")
 
 
