@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator, Sequence
 from itertools import product
 
@@ -13,8 +14,8 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.exprs import clean_double, col, numeric_columns, one, rnd
-from ..functions.frames import checkpointed, row_index, unpivot_numeric, unpivot_text
+from ..functions.exprs import clean_double, col, label_columns, numeric_columns, one, rnd
+from ..functions.frames import checkpointed, row_index, unpivot_numeric
 from ..functions.graph import components
 from . import mixture
 from .features import levels_of, standardise
@@ -194,14 +195,17 @@ def silhouette_scan(df: DataFrame, id_col: str, cols: Sequence[str], max_k: int
 # Mixed columns
 
 def kprototypes_labels(df: DataFrame, id_col: str, nums: Sequence[str], cats: Sequence[str], k: int,
-                       gamma: float | None = None, max_iter: int = 20) -> DataFrame:
+                       gamma: float | None = None, max_iter: int = 100) -> DataFrame:
     """k-prototypes on standardised numeric and on category columns: id, cluster.
 
     Centres are k x columns numbers and texts held as literals; each round is
-    one aggregate over the unchanged base table, so lineage never grows.
+    one aggregate over the unchanged base table, so lineage never grows. Means
+    and most frequent values come from the same rows (label, column, value), of
+    which numeric columns have one each. Warns when ``max_iter`` rounds leave
+    centres that still move.
     """
     nums, cats = list(nums), list(cats)
-    base = zscore(df.select(col(id_col), *[col(c) for c in nums], *[col(c).cast("string").alias(c) for c in cats]), nums).persist()
+    base = checkpointed(zscore(df.select(col(id_col), *[col(c) for c in nums], *[col(c).cast("string").alias(c) for c in cats]), nums))
     gamma = 0.5 if gamma is None else gamma  # half the deviation of standardised columns
     means = [F.avg(c).alias(c) for c in nums]
     start = base.groupBy(*cats).agg(F.count(F.lit(1)).alias("__n"), *means).orderBy(F.desc("__n"), *cats).limit(k).collect() if cats else []
@@ -215,28 +219,53 @@ def kprototypes_labels(df: DataFrame, id_col: str, nums: Sequence[str], cats: Se
         dist = []
         for i, (mu, mode) in enumerate(centres):
             d = sum(((col(c) - m) * (col(c) - m) for c, m in zip(nums, mu)), F.lit(0.0))
-            d = d + gamma * sum((F.when(col(c).eqNullSafe(F.lit(v)), 0.0).otherwise(1.0) for c, v in zip(cats, mode)), F.lit(0.0))
+            d = d + gamma * sum((F.when(col(c).isNull() if v is None else col(c).eqNullSafe(F.lit(v)), 0.0).otherwise(1.0) for c, v in zip(cats, mode)), F.lit(0.0))
             dist.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
         return F.array_min(F.array(*dist))["i"]
 
+    cell = lambda name, value, x: F.struct(F.lit(name).alias("column"), value.cast("string").alias("value"), x.cast("double").alias("x"))
+    cells = F.array(*[cell(f"n{j}", F.lit(None), col(c)) for j, c in enumerate(nums)], *[cell(f"c{j}", col(c), F.lit(None)) for j, c in enumerate(cats)])
     for _ in range(max_iter):
-        tagged = base.withColumn("__l", label())
-        mu = {r["__l"]: [float(r[c]) for c in nums] for r in tagged.groupBy("__l").agg(*means).collect()} if nums else {}
-        mode: dict[tuple[int, str], str] = {}
-        if cats:
-            counts = unpivot_text(tagged, cats, ["__l"]).groupBy("__l", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-            # Most frequent value, the smaller one on a tie.
-            best = counts.groupBy("__l", "column").agg(F.max("n").alias("n")).join(counts, ["__l", "column", "n"]).groupBy("__l", "column").agg(F.min("value").alias("v"))
-            mode = {(r["__l"], r["column"]): r["v"] for r in best.collect()}
-        new = [(mu.get(i, c[0]), [mode.get((i, name), v) for name, v in zip(cats, c[1])]) for i, c in enumerate(centres)]
+        long = base.select(label().alias("l"), F.explode(cells).alias("e")).select("l", "e.*")
+        counts = long.groupBy("l", "column", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x"))
+        # Most frequent value, the smaller one on a tie.
+        often = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("none"), "value"))
+        found = {(r["l"], r["column"]): r for r in counts.groupBy("l", "column").agg(often["value"].alias("v"), F.max("x").alias("x")).collect()}
+        part = lambda i, key, field, old: found[i, key][field] if (i, key) in found else old
+        new = [([part(i, f"n{j}", "x", x) for j, x in enumerate(mu)], [part(i, f"c{j}", "v", v) for j, v in enumerate(mode)])
+               for i, (mu, mode) in enumerate(centres)]
         # Sums of partitions come in any order, so their last bits do not count.
         still = all(a[1] == b[1] and all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) for x, y in zip(a[0], b[0])) for a, b in zip(new, centres))
         centres = new
         if still:
             break
-    out = base.select(col(id_col), label().alias("cluster"))
-    base.unpersist()
-    return out
+    else:
+        warnings.warn(f"k-prototypes: centres still move after {max_iter} rounds", RuntimeWarning, stacklevel=2)
+    return base.select(col(id_col), label().alias("cluster"))
+
+
+METHODS = ("auto", "kprototypes", "gmm")
+
+
+def find_clusters(df: DataFrame, id_col: str, k: int, method: str = "auto", cols: Sequence[str] | None = None) -> DataFrame:
+    """Cluster rows by the method that suits their columns: id, cluster.
+
+    Numeric columns are power-transformed and standardised first. ``auto``
+    takes k-prototypes where there are text or boolean columns, a mixture
+    otherwise; the mixture leaves such columns out. Columns of other types
+    (dates, arrays) take no part.
+    """
+    if method not in METHODS:
+        raise ValueError(f"method is one of {METHODS}")
+    used = [c for c in (cols or df.columns) if c != id_col]
+    numeric, labels = set(numeric_columns(df)), set(label_columns(df))
+    nums, cats = [c for c in used if c in numeric], [c for c in used if c in labels]
+    even = power_transform(df.select(col(id_col), *[col(c) for c in (*nums, *cats)]), nums) if nums else df
+    if method == "kprototypes" or method == "auto" and cats:
+        return kprototypes_labels(even, id_col, nums, cats, k)
+    if not nums:
+        raise ValueError("a mixture needs numeric columns")
+    return gmm_labels(even, id_col, nums, k)
 
 
 # Embedding and density

@@ -138,3 +138,43 @@ def test_seeds_reach_a_small_far_group(spark):
     assert rows.sum() == len(x) and len(candidates) <= 30
     lab = G.fit(p, [3])[3].labels(x - p.mean)
     assert len(set(lab[-40:])) == 1 and lab[-1] not in lab[:-40]
+
+
+def test_prototypes_are_the_plain_ones(spark):
+    """Same centres, row by row, from the same start; ties and nulls included."""
+    rng = np.random.default_rng(7)
+    d = pd.DataFrame({"id": range(120), "a": np.r_[rng.normal(0, 1, 60), rng.normal(6, 1, 60)], "b": rng.normal(0, 1, 120),
+                      "c": [None if i % 11 == 0 else "xyz"[(i // 60 + (i % 7 == 0)) % 3] for i in range(120)]})
+    df = spark.createDataFrame(d).repartition(3)
+    got = {r.id: r.cluster for r in K.kprototypes_labels(df, "id", ["a", "b"], ["c"], 3).collect()}
+    z = (d[["a", "b"]] - d[["a", "b"]].mean()) / d[["a", "b"]].std(ddof=0)
+    c = d.c.where(d.c.notna(), None).tolist()
+    kinds = sorted(set(c), key=lambda v: (-c.count(v), v is not None, v or ""))[:3]
+    centres = [(z[[x == v for x in c]].mean().to_numpy(), v) for v in kinds]
+    for _ in range(100):
+        far = np.array([[((r - m) ** 2).sum() + 0.5 * (v != w) for m, w in centres] for r, v in zip(z.to_numpy(), c)])
+        at = far.argmin(axis=1)
+        new = []
+        for i, old in enumerate(centres):
+            own = [v for v, k in zip(c, at) if k == i]
+            new.append((z[at == i].mean().to_numpy(), min(set(own), key=lambda v: (-own.count(v), v is None, v or ""))) if own else old)
+        if all(a[1] == b[1] and np.allclose(a[0], b[0]) for a, b in zip(new, centres)):
+            break
+        centres = new
+    assert [got[i] for i in range(120)] == list(at)
+    with pytest.warns(RuntimeWarning, match="still move"):
+        K.kprototypes_labels(df, "id", ["a", "b"], ["c"], 3, max_iter=1)
+
+
+def test_method_follows_the_columns(spark):
+    rng = np.random.default_rng(9)
+    x = np.r_[np.exp(rng.normal(0, 0.3, 200)), np.exp(rng.normal(4, 0.3, 100))]
+    d = pd.DataFrame({"id": range(300), "x": x, "flag": ["u"] * 200 + ["v"] * 100, "when": pd.Timestamp("2020-01-01")})
+    df = spark.createDataFrame(d)
+    groups = lambda f: [set(g) for g in f.toPandas().groupby("cluster").id.apply(list)]
+    truth = [set(range(200)), set(range(200, 300))]
+    assert sorted(groups(K.find_clusters(df, "id", 2)), key=min) == truth
+    assert sorted(groups(K.find_clusters(df.drop("flag"), "id", 2)), key=min) == truth
+    assert sorted(groups(K.find_clusters(df, "id", 2, "gmm")), key=min) == truth
+    with pytest.raises(ValueError):
+        K.find_clusters(df.select("id", "flag"), "id", 2, "gmm")

@@ -67,6 +67,16 @@ def _(t):
     return K.kprototypes_labels(t.part, "p_partkey", ["p_size", "p_retailprice"], ["p_type", "p_brand"], 4)
 
 
+@query("find_clusters")
+def _(t):
+    return K.find_clusters(t.part, "p_partkey", 4, cols=["p_size", "p_retailprice", "p_brand"])
+
+
+@query("find_clusters_numeric")
+def _(t):
+    return K.find_clusters(t.part, "p_partkey", 3, cols=["p_size", "p_retailprice"])
+
+
 @query("silhouette_score", "with p as (select a.vec_id, a.label as l, b.label as m, avg(" + " + ".join(f"(a.d{i} - b.d{i}) ** 2" for i in range(64)) + """) as d
    from emb a join emb b on a.vec_id <> b.vec_id group by 1, 2, 3),
  s as (select vec_id, coalesce(min(d) filter (where l = m), 0) as a, min(d) filter (where l <> m) as b, count(*) filter (where l = m) as own from p group by vec_id)
