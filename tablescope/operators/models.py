@@ -27,10 +27,14 @@ def infer_task(df: DataFrame, target: str) -> DataFrame:
 
 # Scores of given predictions
 
-def confusion_matrix(df: DataFrame, actual: str, pred: str) -> DataFrame:
-    """Zero-filled counts over the labels that occur as actual values."""
-    labels = levels_of(df, actual)
+def confusion_matrix(df: DataFrame, actual: str, pred: str, zeros: bool = True) -> DataFrame:
+    """Counts over the labels that occur as actual values: actual, predicted,
+    n. Zero-filled, or, for any number of labels, without ``zeros``."""
     counts = df.groupBy(col(actual).alias("actual"), col(pred).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    if not zeros:
+        known = counts.filter("actual is not null").select(F.col("actual").alias("predicted")).distinct()
+        return counts.filter("actual is not null").join(known, "predicted", "left_semi").select("actual", "predicted", "n")
+    labels = levels_of(df, actual)
     kind = df.schema[actual].dataType.simpleString()
     every = df.sparkSession.createDataFrame([(v,) for v in labels], f"actual {kind}")
     grid = every.select("actual", F.explode(F.array(*[F.lit(v).cast(kind) for v in labels])).alias("predicted"))

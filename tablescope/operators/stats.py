@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.exprs import clean_double, col, label_columns, numeric_columns, one, rnd, varies
 from ..functions.frames import pair_fan, per_column, quantiles_of, unpivot_numeric
 from ..functions.special import f_tail, t_quantile, t_two_sided
+from . import wide
 from .charts import box_stats
 from .features import levels_of
 
@@ -145,8 +146,12 @@ def design(df: DataFrame, target: str, features: Sequence[str], log_target: bool
 
 
 def fit_ols(df: DataFrame, target: str, features: Sequence[str], log_target: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Least squares on all rows: (coefficients, fit statistics)."""
+    """Least squares on all rows: (coefficients, fit statistics). A category
+    of more levels than columns should have is absorbed by means per level."""
     spark = df.sparkSession
+    for f in features:
+        if f in set(label_columns(df)) and wide.is_wide(df, f):
+            return wide.fit_absorbed(df, target, features, f, log_target)
     data, names = design(df, target, features, log_target)
     model = LinearRegression(solver="normal", regParam=0.0, standardization=False).fit(data)
     s = model.summary

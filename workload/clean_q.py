@@ -1,9 +1,11 @@
 """Cleaning and feature queries."""
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tablescope.functions.exprs import rnd
-from tablescope.operators import clean as C, features as E
+from tablescope.operators import clean as C, features as E, wide as W
 from tablescope.operators.profile import numeric_columns, per_column
 from tablescope.plans.replay import Step, replay, replay_written
 
@@ -163,6 +165,15 @@ def _(t):
     return d.select("p_partkey", "is_cheap", "is_ring")
 
 
+@query("fe_one_hot_vector", """select place, n from (select row_number() over (order by o_custkey) - 1 as place, count(*) as n from orders group by o_custkey)
+ where place > 0""")
+def _(t):
+    """Rows per vector element: the vectors are added up, never spread out."""
+    d = W.one_hot_vector(t.orders.select("o_custkey"), "o_custkey", out="v")
+    total = d.select(Summarizer.sum(F.col("v")).alias("s")).select(F.posexplode(vector_to_array("s")).alias("place", "n"))
+    return total.select((F.col("place") + 1).cast("bigint").alias("place"), F.col("n").cast("bigint").alias("n"))
+
+
 @query("fe_one_hot", """select o_orderkey, case when o_orderstatus = 'O' then 1.0::double else 0.0 end as "o_orderstatus_O",
  case when o_orderstatus = 'P' then 1.0::double else 0.0 end as "o_orderstatus_P" from orders""")
 def _(t):

@@ -133,6 +133,12 @@ def _(t):
     return L.confusion_matrix(t.scored, "actual", "pred")
 
 
+@query("confusion_counts", """with l as (select distinct actual from scored)
+ select actual, pred as predicted, count(*) as n from scored where pred in (select actual from l) group by 1, 2""", SCORED)
+def _(t):
+    return L.confusion_matrix(t.scored, "actual", "pred", zeros=False)
+
+
 ROC = """c as (select score, sum(actual) as pos, sum(1 - actual) as neg from scored group by 1),
  r as (select score, pos, neg, sum(pos) over (order by score desc) as tp, sum(neg) over (order by score desc) as fp, sum(pos) over () as p, sum(neg) over () as n from c)"""
 

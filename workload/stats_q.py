@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablescope.functions.exprs import rnd
-from tablescope.operators import stats as M
+from tablescope.operators import stats as M, wide as W
 
 from .clean_q import r6
 from .core import query
@@ -88,6 +88,17 @@ def _(t):
     return M.fit_ols(t.li_dirty, "charge", ["l_extendedprice", "l_discount", "l_tax", "l_returnflag"], log_target=True)[0]
 
 
+@query("ols_wide_category", """with m as (select l_partkey as g, count(*) as m, avg(charge) as y, avg(l_extendedprice) as x from li_dirty group by 1),
+ w as (select sum((l_extendedprice - x) * (l_extendedprice - x)) as xx, sum((l_extendedprice - x) * (charge - y)) as xy from li_dirty join m on g = l_partkey),
+ b as (select xy / xx as b from w), z as (select y - b * x as a from m, b order by cast(g as varchar) limit 1)
+ select case when cast(g as varchar) = (select min(cast(g as varchar)) from m) then 'const' else concat('part_', g) end as feature,
+  round_even(y - b * x - case when cast(g as varchar) = (select min(cast(g as varchar)) from m) then 0 else a end, 3) as coef from m, b, z
+ union all select 'l_extendedprice', round_even(b, 3) from b""", LD)
+def _(t):
+    d = t.li_dirty.withColumn("part", F.col("l_partkey").cast("string"))
+    return W.fit_absorbed(d, "charge", ["l_extendedprice", "part"], "part")[0].select("feature", rnd(F.col("coef"), 3).alias("coef"))
+
+
 @query("ols_top_coefficients", f"""with {OLS} select 'l_tax' as feature, round_even(b2, 4) as coef from e union all select 'l_extendedprice', round_even(b1, 4) from e""", LD)
 def _(t):
     c = M.fit_ols(t.li_dirty, "charge", ["l_extendedprice", "l_tax"])[0]
