@@ -183,7 +183,7 @@ def test_structure_is_confirmed(spark, docs_of):
     b64 = lambda b: base64.b64encode(b).decode()
     text = "\n".join(b64(rsa)[i : i + 64] for i in range(0, len(b64(rsa)), 64))
     rows = [
-        (1, f"é {b64(rsa)} end", "der"), (2, f"{b64(spki)}", "der"), (3, f"k={pkcs8.hex()}", "der"), (4, f"ssh-rsa {b64(ssh)} me@x", "ssh"), (5, b64(private), "ssh"),
+        (1, f"é {b64(rsa)} end", "der"), (2, f"{b64(spki)}", "public"), (3, f"k={pkcs8.hex()}", "der"), (4, f"ssh-rsa {b64(ssh)} me@x", "public"), (5, b64(private), "ssh"),
         (6, f"see {jwt}, ok", "jwt"), (7, f"-----BEGIN RSA PRIVATE KEY-----\n{text}\n-----END RSA PRIVATE KEY-----", "pem"),
         (8, b64(rsa[:-1] + b"xx"), None), (9, b64(b"\x30\x82\x01\x00" + os.urandom(200)), None), (10, jwt.replace("eyJ", "eyK", 1), None), (11, "a" * 300, None), (12, b64(os.urandom(120)), None),
     ]
