@@ -1,7 +1,7 @@
 """Language by bit-sliced Bloom filters of character n-grams.
 
-All languages share one table of slots; bit l of a slot belongs to language l.
-The AND of the slots of an n-gram is the mask of all languages that contain it.
+All languages share one table of slots; bit l of a slot belongs to language l
+(a slot is a word of 8 to 64 bits, beyond 64 languages several words). The AND of the slots of an n-gram is the mask of all languages that contain it.
 Per document the masks are counted for each language, the counts are corrected
 for the filter's measured rate of false positives, and the language with the
 largest share of known n-grams decides.
@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.frames import sized
 from .common import map_arrow, slices, table
 from .samples import LONGEST, bounded, not_held_out
 
@@ -26,10 +28,16 @@ GRAM, HASHES = 4, 3
 #: most (the first aside), and occurrences that an n-gram needs among them.
 PER_LANGUAGE, LEAST_COUNT = 1500, 3
 LANGUAGE_BYTES = PER_LANGUAGE * LONGEST
+#: Documents of the whole sample: more than SAMPLE / PER_LANGUAGE languages share
+#: them alike, each with one document at least.
+SAMPLE = 64 * PER_LANGUAGE
+#: Slots for each n-gram of the largest language, up to so many slots and beyond.
+ROOMY, ROOMY_TOP, TIGHT = 16, 1 << 21, 4
 #: Characters that are hashed at a time, and hashes held until they are counted.
 PIECE, PENDING = 1 << 18, 1 << 22
 UNKNOWN = "und"
-LANGUAGES = 64
+#: Odd multipliers, one for each hash function.
+ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 @lru_cache(maxsize=1)
@@ -74,19 +82,24 @@ def gram_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 @dataclass
 class LanguageFilter:
     names: list[str]
-    slots: np.ndarray
+    slots: np.ndarray  # words x slots
     false_rate: np.ndarray
 
     def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
         """One slot for each hash function."""
-        low = np.uint64(len(self.slots) - 1)
+        shift = np.uint64(64 - (self.slots.shape[1] - 1).bit_length())
         for k in range(HASHES):
-            yield ((h >> np.uint64(21 * k)) & low).astype(np.int64)
+            yield ((h * ODD[k]) >> shift).astype(np.int64)
+
+    def bits(self, words: np.ndarray, k: int) -> np.ndarray:
+        """Bit of language k, of words x anything."""
+        word, bit = divmod(k, 8 * self.slots.itemsize)
+        return (words[word] >> np.array(bit, words.dtype)) & np.array(1, words.dtype)
 
     def masks(self, h: np.ndarray) -> np.ndarray:
         out = None
         for p in self.places(h):
-            out = self.slots[p] if out is None else out & self.slots[p]
+            out = self.slots[:, p] if out is None else out & self.slots[:, p]
         return out
 
     def shares(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +110,7 @@ class LanguageFilter:
         if len(h) and self.names:
             m = self.masks(h)
             for k in range(len(self.names)):
-                hits = np.bincount(doc, weights=(m >> np.array(k, m.dtype)) & np.array(1, m.dtype), minlength=len(texts))
+                hits = np.bincount(doc, weights=self.bits(m, k), minlength=len(texts))
                 out[:, k] = np.clip((hits / np.maximum(total, 1) - self.false_rate[k]) / (1 - self.false_rate[k]), 0, 1)
         return out, count
 
@@ -139,42 +152,50 @@ def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return counted() if waiting else (values, counts)
 
 
-def build(samples: dict[str, list[str]], least: int = LEAST_COUNT) -> LanguageFilter:
-    """Fill the filter from texts by language (a bounded sample, on the driver)."""
-    names = sorted(samples)
-    if len(names) > LANGUAGES:
-        raise ValueError(f"{len(names)} languages; a slot has {LANGUAGES} bits")
-    sets = []
-    for name in names:
-        values, counts = gram_counts(samples[name])
-        common = values[counts >= least]
-        sets.append(common if len(common) else values)
-    size = 1 << 12
-    while size < 16 * max([1, *map(len, sets)]) and size < 1 << 21:
+def common_grams(texts: list[str], least: int = LEAST_COUNT) -> np.ndarray:
+    """The n-grams that occur ``least`` times, or all if none does."""
+    values, counts = gram_counts(texts)
+    common = values[counts >= least]
+    return common if len(common) else values
+
+
+def fill(sets: dict[str, np.ndarray]) -> LanguageFilter:
+    """The filter of n-gram hashes by language. The slots follow from the
+    largest set, so that no language fills more than about half of its bits."""
+    names = sorted(sets)
+    most, size = max([1, *map(len, sets.values())]), 1 << 12
+    while size < min(ROOMY * most, ROOMY_TOP) or size < TIGHT * most:
         size *= 2
-    kind = next(k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(names) <= bits)
-    f = LanguageFilter(names, np.zeros(size, kind), np.zeros(len(names)))
-    for k, own in enumerate(sets):
-        for p in f.places(own):
-            np.bitwise_or.at(f.slots, p, np.array(1 << k, kind))
-    f.false_rate = np.array([float(((f.slots >> np.array(k, kind)) & np.array(1, kind)).mean()) ** HASHES for k in range(len(names))])
+    kind = next((k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32)) if len(names) <= bits), np.uint64)
+    width = 8 * np.dtype(kind).itemsize
+    f = LanguageFilter(names, np.zeros((-(-max(len(names), 1) // width), size), kind), np.zeros(len(names)))
+    for k, name in enumerate(names):
+        for p in f.places(sets[name]):
+            np.bitwise_or.at(f.slots[k // width], p, np.array(1 << k % width, kind))
+    f.false_rate = np.array([float(f.bits(f.slots, k).mean()) ** HASHES for k in range(len(names))])
     return f
 
 
-def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text", lang: str = "lang", id_col: str = "doc_id", language_bytes: int = LANGUAGE_BYTES) -> LanguageFilter:
+def build(samples: dict[str, list[str]], least: int = LEAST_COUNT) -> LanguageFilter:
+    """Fill the filter from texts by language (a bounded sample, on the driver)."""
+    return fill({name: common_grams(texts, least) for name, texts in samples.items()})
+
+
+def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text", lang: str = "lang", id_col: str = "doc_id", language_bytes: int = LANGUAGE_BYTES,
+          sample: int = SAMPLE, longest: int = LONGEST) -> LanguageFilter:
     """From at most ``per_language`` documents and ``language_bytes`` bytes of
     each language that are not held out, in order of a hash of their id; texts
-    above LONGEST bytes fill up what shorter ones leave."""
+    above ``longest`` bytes fill up what shorter ones leave. Any number of
+    languages: where there are more than ``sample / per_language``, they share
+    ``sample`` documents and their bytes alike. The driver holds the texts of
+    one language at a time, then its n-grams."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(id_col).isNotNull() & F.col(text).isNotNull() & not_held_out(id_col, FOLDS, HELD_OUT))
     known = known.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.octet_length(text).alias("b"), F.col(text).alias("t"))
-    ids = bounded(known.select("i", "l", "b"), "l", "i", "b", per_language, language_bytes).distinct()
-    if ids.limit(LANGUAGES * per_language + 1).count() > LANGUAGES * per_language:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    rows = known.join(F.broadcast(ids), ["i", "l", "b"]).select("l", "t").distinct()
-    samples: dict[str, list[str]] = {}
-    for r in rows.toLocalIterator():
-        samples.setdefault(r["l"], []).append(r["t"])
-    return build(samples)
+    languages = known.select("l").distinct().count()
+    own = max(1, min(per_language, sample // max(languages, 1)))
+    ids = bounded(known.select("i", "l", "b"), "l", "i", "b", own, language_bytes * own // per_language, longest).distinct()
+    rows = known.join(sized(ids), ["i", "l", "b"]).select("l", "t").distinct().orderBy("l")
+    return fill({name: common_grams([r["t"] for r in group]) for name, group in groupby(rows.toLocalIterator(), key=lambda r: r["l"])})
 
 
 def predict(docs: DataFrame, f: LanguageFilter, text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -14,10 +14,10 @@ PER_CLASS, LONGEST = 800, 32_768
 CLASS_BYTES = PER_CLASS * LONGEST
 
 
-def bounded(rows: DataFrame, group: str, id_col: str, size: str, most: int, most_bytes: int) -> DataFrame:
+def bounded(rows: DataFrame, group: str, id_col: str, size: str, most: int, most_bytes: int, longest: int = LONGEST) -> DataFrame:
     """At most ``most`` rows and ``most_bytes`` bytes of each group, shorter
-    texts than LONGEST first; each group has one row at least."""
-    order = (F.col(size) > LONGEST, F.xxhash64(id_col), F.col(id_col), F.col(size))
+    texts than ``longest`` bytes first; each group has one row at least."""
+    order = (F.col(size) > longest, F.xxhash64(id_col), F.col(id_col), F.col(size))
     w = Window.partitionBy(group).orderBy(*order)
     few = rows.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most)
     total = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -29,7 +29,7 @@ def not_held_out(id_col: str, folds: int, held: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int = PER_CLASS, text: str = "text", id_col: str = "doc_id",
-                    class_bytes: int = CLASS_BYTES):
+                    class_bytes: int = CLASS_BYTES, longest: int = LONGEST):
     """(texts, labels, weights): at most ``per_class`` rows and ``class_bytes``
     bytes of label 0 and of label 1 that are not held out, weighted so that the
     classes count as often as among all labelled rows. Longer texts fill up
@@ -37,7 +37,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & not_held_out(id_col, folds, held)).groupBy(id_col).agg(F.max(label).alias("y"))
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     lengths = docs.filter(F.col(text).isNotNull()).groupBy(id_col).agg(F.min(F.octet_length(text)).alias("size"))
-    ids = bounded(known.join(lengths, id_col), "y", id_col, "size", per_class, class_bytes)
+    ids = bounded(known.join(lengths, id_col), "y", id_col, "size", per_class, class_bytes, longest)
     # At most 2 * per_class rows, so they may be broadcast.
     own = docs.select(id_col, text, F.octet_length(text).alias("size")).join(F.broadcast(ids), [id_col, "size"]).groupBy(id_col).agg(F.min(text).alias("t"), F.max("y").alias("y"))
     rows = sorted(own.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), r[0]))
