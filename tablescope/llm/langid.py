@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -187,15 +186,17 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text",
     each language that are not held out, in order of a hash of their id; texts
     above ``longest`` bytes fill up what shorter ones leave. Any number of
     languages: where there are more than ``sample / per_language``, they share
-    ``sample`` documents and their bytes alike. The driver holds the texts of
-    one language at a time, then its n-grams."""
+    ``sample`` documents and their bytes alike. The driver holds the sample."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(id_col).isNotNull() & F.col(text).isNotNull() & not_held_out(id_col, FOLDS, HELD_OUT))
     known = known.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.octet_length(text).alias("b"), F.col(text).alias("t"))
     languages = known.select("l").distinct().count()
     own = max(1, min(per_language, sample // max(languages, 1)))
     ids = bounded(known.select("i", "l", "b"), "l", "i", "b", own, language_bytes * own // per_language, longest).distinct()
-    rows = known.join(sized(ids), ["i", "l", "b"]).select("l", "t").distinct().orderBy("l")
-    return fill({name: common_grams([r["t"] for r in group]) for name, group in groupby(rows.toLocalIterator(), key=lambda r: r["l"])})
+    rows = known.join(sized(ids), ["i", "l", "b"]).select("l", "t").distinct()
+    samples: dict[str, list[str]] = {}
+    for r in rows.toLocalIterator():
+        samples.setdefault(r["l"], []).append(r["t"])
+    return build(samples)
 
 
 def predict(docs: DataFrame, f: LanguageFilter, text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
