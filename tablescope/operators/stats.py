@@ -214,17 +214,26 @@ def local_trend(df: DataFrame, x: str, y: str, points: int = 20, frac: float = 0
     """Tricube-weighted local line at x quantiles: grid, x, trend, n.
     Each point reaches as far as the frac of the rows around its quantile."""
     d = df.select(clean_double(col(x)).alias("x"), clean_double(col(y)).alias("y")).dropna()
+    return _lines(d, _reaches(d, points, frac), F.lit(1.0))
+
+
+def _reaches(d: DataFrame, points: int, frac: float) -> Column:
+    """Grid points as an array of structs: number, place, reach."""
     ps = [i / points for i in range(points + 1)]
     lo = [min(max(0.0, p - frac / 2), 1 - frac) for p in ps]
     q = quantiles_of(d, "x", [*ps, *lo, *[a + frac for a in lo]])
     m = len(ps)
-    grid = F.array(*[
+    return F.array(*[
         F.struct(F.lit(i).alias("grid"), q[i].alias("g"), F.greatest(q[i] - q[m + i], q[2 * m + i] - q[i]).alias("h"))
         for i in range(m)
     ])
-    near = d.select("x", "y", F.explode(grid).alias("t")).select("x", "y", "t.*").filter(F.abs(F.col("x") - F.col("g")) < F.col("h"))
+
+
+def _lines(d: DataFrame, grid: Column, weight: Column) -> DataFrame:
+    """Weighted line around each grid point, at the point."""
+    near = d.select("x", "y", weight.alias("v"), F.explode(grid).alias("t")).select("x", "y", "v", "t.*").filter(F.abs(F.col("x") - F.col("g")) < F.col("h"))
     u = F.abs(F.col("x") - F.col("g")) / F.col("h")
-    w = F.pow(1 - F.pow(u, F.lit(3.0)), F.lit(3.0))
+    w = F.pow(1 - F.pow(u, F.lit(3.0)), F.lit(3.0)) * F.col("v")
     dx = F.col("x") - F.col("g")
     s = near.groupBy("grid", "g").agg(
         F.count(F.lit(1)).alias("n"), F.sum(w).alias("w0"), F.sum(w * dx).alias("w1"), F.sum(w * dx * dx).alias("w2"),
@@ -232,3 +241,41 @@ def local_trend(df: DataFrame, x: str, y: str, points: int = 20, frac: float = 0
     det = F.col("w0") * F.col("w2") - F.col("w1") * F.col("w1")
     line = F.try_divide(F.col("w2") * F.col("v0") - F.col("w1") * F.col("v1"), det)
     return s.select("grid", F.col("g").alias("x"), F.coalesce(line, F.try_divide(F.col("v0"), F.col("w0"))).alias("trend"), "n")
+
+
+TREND = "grid int, x double, trend double, n bigint"
+
+
+def robust_trend(df: DataFrame, x: str, y: str, points: int = 20, frac: float = 0.3, rounds: int = 3) -> DataFrame:
+    """local_trend without the pull of outliers: grid, x, trend, n.
+
+    Each round takes the residuals of all rows from the trend (between grid
+    points by straight lines), their exact median size, and bisquare weights of
+    six medians, then fits the lines again. Ends early where the median is 0,
+    so the trend meets half of the rows. The driver sees the grid alone.
+    """
+    spark = df.sparkSession
+    d = df.select(clean_double(col(x)).alias("x"), clean_double(col(y)).alias("y")).dropna().persist()
+    grid = _reaches(d, points, frac)
+    rows = _lines(d, grid, F.lit(1.0)).orderBy("grid").collect()  # points + 1 rows at most
+    for _ in range(rounds):
+        size = F.abs(F.col("y") - _between([(r["x"], r["trend"]) for r in rows if r["trend"] is not None]))
+        middle = quantiles_of(d.select(size.alias("r")), "r", [0.5])[0]
+        reach = spark.range(1).select((middle * 6).alias("m")).first()["m"]
+        if not reach:
+            break
+        part = size / reach
+        rows = _lines(d, grid, F.when(part < 1, F.pow(1 - part * part, F.lit(2.0))).otherwise(0.0)).orderBy("grid").collect()
+    d.unpersist()
+    return spark.createDataFrame(rows, TREND)
+
+
+def _between(marks: list[tuple[float, float]]) -> Column:
+    """Straight lines between (x, value) marks, level beyond them."""
+    marks = sorted(dict(marks).items())
+    if not marks:
+        return F.lit(None).cast("double")
+    out = F.when(F.col("x") <= marks[0][0], marks[0][1])
+    for (a, u), (b, v) in zip(marks, marks[1:]):
+        out = out.when(F.col("x") <= b, u + (F.col("x") - a) * ((v - u) / (b - a)))
+    return out.otherwise(marks[-1][1])

@@ -133,3 +133,9 @@ QS = ", ".join(repr(p) for p in PS), ", ".join(repr(a) for a in LO), ", ".join(r
 def _(t):
     d = M.local_trend(t.orders, "o_custkey", "o_totalprice")
     return r6(d, "x").withColumn("trend", rnd(F.col("trend"), 3))
+
+
+@query("robust_trend")
+def _(t):
+    d = M.robust_trend(t.orders, "o_custkey", "o_totalprice")
+    return d.select("grid", rnd(F.col("x"), 3).alias("x"), rnd(F.col("trend"), 2).alias("trend"), "n")
