@@ -89,3 +89,33 @@ def test_leaf_limit_and_thin_tables(spark):
     assert B.fit(df.limit(0), "y", ["x0"], trees=3).rounds == []
     assert B.fit(df.withColumn("y", F.lit(1.0)), "y", ["x0"], 2, trees=3).rounds == []
     assert B.fit(df.withColumn("y", F.lit(1.0)), "y", ["x0"], trees=3).margins(x[:2]).tolist() == [[1.0], [1.0]]
+
+
+@pytest.mark.parametrize("classes", [0, 2, 4])
+def test_equal_rows_become_one_with_the_same_trees(spark, classes, monkeypatch):
+    """Few combinations of bins: the fit holds one row for each, however many
+    rows there are, and the trees are those of the single rows."""
+    monkeypatch.setattr(B, "RENEW", 5)
+    monkeypatch.setattr(B, "RENEW_HELD", 2)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 37)
+    x, y = rows_of(3000)
+    if classes:
+        y = np.clip(np.floor(y / y.max() * classes), 0, classes - 1)
+    held = []
+    in_memory = B.in_memory
+    monkeypatch.setattr(B, "in_memory", lambda blocks: held.append(blocks) or in_memory(blocks))
+    model = B.fit(table(spark, x, y), "y", ["x0", "x1", "x2"], classes, trees=8, depth=3)
+    assert model.margins(x) == pytest.approx(plain_margins(x, y, classes, 8, 3), abs=1e-7)
+    rows = sum(len(r.bins) // 3 for r in held[0].collect())
+    assert rows == len(np.unique(x, axis=0)) < 400
+
+
+def test_blocks_are_dealt_out_however_rows_were_read(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_ROWS", 37)
+    monkeypatch.setattr(B, "LEAST_ROWS", 50)
+    x, y = rows_of()
+    seen = []
+    level_sums = B.level_sums
+    monkeypatch.setattr(B, "level_sums", lambda blocks, *a: seen.append(blocks.getNumPartitions()) or level_sums(blocks, *a))
+    B.fit(table(spark, x, y).coalesce(1), "y", ["x0", "x1"], trees=1)
+    assert set(seen) == {8}
