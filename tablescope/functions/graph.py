@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .frames import checkpointed
+from .frames import checkpointed, leaving_nothing
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,7 +28,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("hi").agg(F.min("lo").alias("r"))
         small = large.join(low, "hi").select(F.col("r").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi")).filter("lo < hi").distinct()
         x = checkpointed(small)
-        now = x.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
+        with leaving_nothing(x.sparkSession):
+            now = x.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
         if tuple(now) == last:
             return x.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(x.select(F.col("lo"), F.col("lo"))).distinct()
         last = tuple(now)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.frames import checkpointed, sized
+from ..functions.frames import checkpointed, leaving_nothing, sized
 from ..functions.graph import components
 from .common import map_arrow, slices
 from .simhash import shingle_hashes
@@ -167,7 +167,8 @@ def near_sets(docs: DataFrame, text: str = "text", id_col: str = "doc_id", size:
         mixed = live.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
         met = live = checkpointed(live.join(mixed, "bucket", "left_semi"))
         met = met.drop("part")
-        n = live.count()
+        with leaving_nothing(docs.sparkSession):
+            n = live.count()
         if not n:
             break
         last = turn == CENTRE_ROUNDS or n <= FEW

@@ -1,9 +1,12 @@
 """Scalable building blocks against their plain forms, on skewed input."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from tablescope.functions import frames as fr
+from tablescope.functions.graph import components
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +91,19 @@ def test_same_result_with_other_partitioning(spark, skewed):
 def test_top_values_ties(spark):
     d = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "x string")
     assert [tuple(r) for r in fr.top_values(d, "x", 2).collect()] == [("c", 2), ("a", 1)]
+
+
+def test_checkpoint_leaves_no_shuffle_files(spark):
+    """They went only when the driver collected its garbage, so that the rounds
+    of a loop added up on disk."""
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id").groupBy("k").agg(F.sum("id").alias("s"))
+    links = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
+    held, was = files(), spark.conf.get(fr.CLEANUP_KEY)
+    kept = fr.checkpointed(df)
+    parts = components(links)
+    assert not files() - held
+    assert spark.conf.get(fr.CLEANUP_KEY) == was
+    assert sorted(kept.collect()) == sorted(df.collect()) and kept.count() == 7
+    assert {r.component for r in parts.collect()} == {0, 21}
