@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import clean_double, col, label_columns, numeric_columns, one, rnd
-from ..functions.frames import checkpointed, row_index, unpivot_numeric
+from ..functions.frames import checkpointed, row_index
 from ..functions.graph import components
 from . import mixture
 from .features import levels_of, standardise
@@ -42,20 +44,67 @@ def _psi(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, up).otherwise(down)
 
 
+def _psi_values(x: np.ndarray, lam: float) -> np.ndarray:
+    """The transform of numbers, in any order."""
+    up, down = x[x >= 0], x[x < 0]
+    a = np.log1p(up) if abs(lam) < 1e-9 else ((up + 1) ** lam - 1) / lam
+    b = -np.log1p(-down) if abs(lam - 2) < 1e-9 else -((1 - down) ** (2 - lam) - 1) / (2 - lam)
+    return np.concatenate([a, b])
+
+
+def _psi_moments(df: DataFrame, cols: Sequence[str], grid: Sequence[Sequence[float]]) -> DataFrame:
+    """(column, lam, n, v, j): count and variance of the transformed values of
+    a column for each parameter of its grid, and the sum of their log slopes.
+
+    A task keeps a count, a mean and a sum of squares for each column and
+    parameter, whatever its rows; these are merged, one entry a task, as
+    variances of parts are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, j = np.zeros(len(cols), np.int64), np.zeros(len(cols))
+        mean, m2 = ([np.zeros(len(g)) for g in grid] for _ in range(2))
+        with np.errstate(all="ignore"):
+            for batch in batches:
+                for c, lams in enumerate(grid):
+                    x = batch.column(c).to_numpy(zero_copy_only=False)
+                    x = x[~np.isnan(x)]
+                    if not len(x):
+                        continue
+                    total = n[c] + len(x)
+                    j[c] += (np.sign(x) * np.log1p(np.abs(x))).sum()
+                    for i, lam in enumerate(lams):
+                        psi = _psi_values(x, lam)
+                        off = psi - psi[0]  # equal values have a variance of 0
+                        middle = off.mean()
+                        delta = psi[0] + middle - mean[c][i]
+                        m2[c][i] += ((off - middle) ** 2).sum() + delta * (delta / total) * n[c] * len(x)
+                        mean[c][i] += delta * (len(x) / total)
+                    n[c] = total
+        rows = [(cols[c], lam, int(n[c]), mean[c][i], m2[c][i], j[c]) for c, lams in enumerate(grid) if n[c] for i, lam in enumerate(lams)]
+        names, kinds = ["column", "lam", "n", "mean", "m2", "j"], [pa.string(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
+
+    def merged(a: Column, b: Column) -> Column:
+        n, delta = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(n.alias("n"), (a["mean"] + delta * (b["n"] / n)).alias("mean"), (a["m2"] + b["m2"] + delta * (delta / n) * a["n"] * b["n"]).alias("m2"))
+
+    slim = df.select(*[clean_double(col(c)).alias(f"v{i}") for i, c in enumerate(cols)])
+    parts = slim.mapInArrow(run, "column string, lam double, n bigint, mean double, m2 double, j double")
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    held = parts.groupBy("column", "lam").agg(F.collect_list(F.struct("n", "mean", "m2")).alias("parts"), F.sum("j").alias("j"))
+    whole = held.select("column", "lam", "j", F.aggregate("parts", zero, merged).alias("m"))
+    return whole.select("column", "lam", F.col("m.n").alias("n"), (F.col("m.m2") / F.col("m.n")).alias("v"), "j")
+
+
 def power_lambdas(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Maximum-likelihood Yeo-Johnson parameter per column: one aggregate over
-    a grid of parameters, refined twice around the best one."""
+    """Maximum-likelihood Yeo-Johnson parameter per column: one scan for a
+    grid of parameters, refined twice around the best one."""
+    cols = list(cols)
     centre = {c: 0.0 for c in cols}
-    long = unpivot_numeric(df, cols).filter(F.col("value").isNotNull())
     for reach, count in ((5.0, 41), (0.25, 21), (0.025, 21)):
         steps = [-reach + 2 * reach * i / (count - 1) for i in range(count)]
-        mid = F.element_at(F.create_map(*[F.lit(x) for kv in centre.items() for x in kv]), F.col("column"))
-        grid = long.select("column", "value", mid.alias("mid"), F.explode(F.array(*[F.lit(s) for s in steps])).alias("s"))
-        x = F.col("value")
-        g = grid.withColumn("lam", rnd(F.col("mid") + F.col("s"), 6))
-        sums = g.groupBy("column", "lam").agg(
-            F.count(F.lit(1)).alias("n"), F.var_pop(_psi(x, F.col("lam"))).alias("v"),
-            F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("j"))
+        sums = _psi_moments(df, cols, [[round(centre[c] + s, 6) for s in steps] for c in cols])
         ll = -F.col("n") / 2 * F.ln("v") + (F.col("lam") - 1) * F.col("j")
         best = sums.withColumn("ll", F.when(F.col("v") > 1e-300, ll)).groupBy("column").agg(
             F.max_by("lam", F.when(F.col("ll").isNotNull(), F.struct("ll", (-F.abs("lam")).alias("a")))).alias("lam"))
@@ -194,15 +243,83 @@ def silhouette_scan(df: DataFrame, id_col: str, cols: Sequence[str], max_k: int
 
 # Mixed columns
 
+#: Different (cluster, column, value) that a task holds before it sends them.
+HELD_VALUES = 100_000
+
+
+def _packed(base: DataFrame, nums: Sequence[str], cats: Sequence[str]) -> DataFrame:
+    """Blocks of rows: the numbers of each column, the different values of each
+    category and the place of every row's value among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            xs = [batch.column(i).to_numpy(zero_copy_only=False).tobytes() for i in range(len(nums))]
+            codes = [batch.column(len(nums) + i).dictionary_encode(null_encoding="encode") for i in range(len(cats))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([batch.num_rows], pa.int32()), pa.array([xs], pa.list_(pa.binary())),
+                pa.array([[c.dictionary.to_pylist() for c in codes]], pa.list_(pa.list_(pa.string()))),
+                pa.array([[c.indices.to_numpy().astype(np.int32).tobytes() for c in codes]], pa.list_(pa.binary()))], names=["n", "x", "levels", "codes"])
+
+    slim = base.select(*[col(c).alias(f"n{i}") for i, c in enumerate(nums)], *[col(c).alias(f"c{i}") for i, c in enumerate(cats)])
+    return slim.mapInArrow(run, "n int, x array<binary>, levels array<array<string>>, codes array<binary>")
+
+
+def _labelled_sums(centres: list[tuple[list[float], list[str | None]]], nums: int, cats: int, gamma: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's counts of (label, column, value) and, of numeric columns, sums."""
+    k = len(centres)
+
+    def nearest(n: int, xs: list[np.ndarray], places: list[dict], codes: list[np.ndarray]) -> np.ndarray:
+        at, least = np.zeros(n, np.int64), None
+        for i, (mu, mode) in enumerate(centres):
+            d, other = np.zeros(n), np.zeros(n)
+            for x, m in zip(xs, mu):
+                d += (x - m) * (x - m)
+            for c, place, v in zip(codes, places, mode):
+                other += c != place.get(v, -1)
+            d += gamma * other
+            if least is None:
+                least = d
+                continue
+            better = (d < least) | (np.isnan(least) & ~np.isnan(d))
+            at[better], least[better] = i, d[better]
+        return at
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["l", "column", "value", "n", "x"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sums, held = np.zeros(k, np.int64), np.zeros((nums, k)), Counter()
+        for batch in batches:
+            for n, x, levels, codes in zip(*(batch.column(c) for c in ("n", "x", "levels", "codes"))):
+                xs, codes, levels = [np.frombuffer(b) for b in x.as_py()], [np.frombuffer(b, np.int32) for b in codes.as_py()], levels.as_py()
+                at = nearest(n.as_py(), xs, [{v: i for i, v in enumerate(own)} for own in levels], codes)
+                counts += np.bincount(at, minlength=k)
+                for j, own in enumerate(xs):
+                    sums[j] += np.bincount(at, weights=own, minlength=k)
+                for j, (own, code) in enumerate(zip(levels, codes)):
+                    for key, m in zip(*(u.tolist() for u in np.unique(at * len(own) + code, return_counts=True))):
+                        held[key // len(own), j, own[key % len(own)]] += m
+                if len(held) >= HELD_VALUES:
+                    yield sent([(i, f"c{j}", v, m, None) for (i, j, v), m in held.items()])
+                    held.clear()
+        rows = [(i, f"n{j}", None, int(counts[i]), float(sums[j, i])) for i in range(k) if counts[i] for j in range(nums)]
+        yield sent(rows + [(i, f"c{j}", v, m, None) for (i, j, v), m in held.items()])
+
+    return run
+
+
 def kprototypes_labels(df: DataFrame, id_col: str, nums: Sequence[str], cats: Sequence[str], k: int,
                        gamma: float | None = None, max_iter: int = 100) -> DataFrame:
     """k-prototypes on standardised numeric and on category columns: id, cluster.
 
-    Centres are k x columns numbers and texts held as literals; each round is
-    one aggregate over the unchanged base table, so lineage never grows. Means
-    and most frequent values come from the same rows (label, column, value), of
-    which numeric columns have one each. Warns when ``max_iter`` rounds leave
-    centres that still move.
+    Centres are k x columns numbers and texts; rows are packed once into
+    blocks, and each round is one aggregate over the unchanged blocks, so
+    lineage never grows. Means and most frequent values come from the same rows
+    (label, column, value), which a task sends added up; numeric columns have
+    one each. Warns when ``max_iter`` rounds leave centres that still move.
     """
     nums, cats = list(nums), list(cats)
     base = checkpointed(zscore(df.select(col(id_col), *[col(c) for c in nums], *[col(c).cast("string").alias(c) for c in cats]), nums))
@@ -223,11 +340,10 @@ def kprototypes_labels(df: DataFrame, id_col: str, nums: Sequence[str], cats: Se
             dist.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
         return F.array_min(F.array(*dist))["i"]
 
-    cell = lambda name, value, x: F.struct(F.lit(name).alias("column"), value.cast("string").alias("value"), x.cast("double").alias("x"))
-    cells = F.array(*[cell(f"n{j}", F.lit(None), col(c)) for j, c in enumerate(nums)], *[cell(f"c{j}", col(c), F.lit(None)) for j, c in enumerate(cats)])
+    packed = checkpointed(_packed(base, nums, cats))
     for _ in range(max_iter):
-        long = base.select(label().alias("l"), F.explode(cells).alias("e")).select("l", "e.*")
-        counts = long.groupBy("l", "column", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x"))
+        long = packed.mapInArrow(_labelled_sums(centres, len(nums), len(cats), gamma), "l int, column string, value string, n bigint, x double")
+        counts = long.groupBy("l", "column", "value").agg(F.sum("n").alias("n"), (F.sum("x") / F.sum("n")).alias("x"))
         # Most frequent value, the smaller one on a tie.
         often = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("none"), "value"))
         found = {(r["l"], r["column"]): r for r in counts.groupBy("l", "column").agg(often["value"].alias("v"), F.max("x").alias("x")).collect()}

@@ -178,3 +178,40 @@ def test_method_follows_the_columns(spark):
     assert sorted(groups(K.find_clusters(df, "id", 2, "gmm")), key=min) == truth
     with pytest.raises(ValueError):
         K.find_clusters(df.select("id", "flag"), "id", 2, "gmm")
+
+
+def test_clusters_multiply_no_row(spark, monkeypatch):
+    """Neither the grid of the power transform nor a round of k-prototypes
+    makes several rows of one; the results are the plain ones."""
+    rng = np.random.default_rng(3)
+    x = np.r_[np.exp(rng.normal(0, 1, 400)), -rng.exponential(1, 60)]
+    d = pd.DataFrame({"id": range(460), "x": x, "y": [5.0] * 460, "c": [None if i % 9 == 0 else "uvw"[i % 3] for i in range(460)]})
+    df = spark.createDataFrame(d).withColumn("x", F.when(F.col("id") != 7, F.col("x"))).repartition(5)
+    x, best = np.delete(x, 7), 0.0
+    for reach, count in ((5.0, 41), (0.25, 21), (0.025, 21)):
+        lams = [round(best - reach + 2 * reach * i / (count - 1), 6) for i in range(count)]
+        psi = lambda v, m: (np.log1p(v) if m == 0 else ((1 + v) ** m - 1) / m) if v >= 0 else (-np.log1p(-v) if m == 2 else -((1 - v) ** (2 - m) - 1) / (2 - m))
+        best = max(lams, key=lambda m: -len(x) / 2 * np.log(np.var([psi(v, m) for v in x])) + (m - 1) * (np.sign(x) * np.log1p(np.abs(x))).sum())
+    assert K.power_lambdas(df, ["x", "y"]) == {"x": best, "y": 0.0}
+
+    def fail(*_):
+        raise AssertionError("rows are multiplied")
+
+    monkeypatch.setattr(F, "explode", fail)
+    assert K.find_clusters(df, "id", 3).count() == 460
+
+
+def test_prototype_counts_are_sent_in_parts(spark, monkeypatch):
+    """Many different values are not all held by a task."""
+    d = pd.DataFrame({"a": np.arange(300) % 7 - 3.0, "c": [None if i % 10 == 0 else f"v{i % 150}" for i in range(300)]})
+    blocks = K._packed(spark.createDataFrame(d).repartition(6), ["a"], ["c"]).toArrow().to_batches()
+    monkeypatch.setattr(K, "HELD_VALUES", 20)
+    out = list(K._labelled_sums([([-1.0], ["v1"]), ([2.0], [None])], 1, 1, 0.5)(iter(blocks)))
+    assert len(out) > 3
+    got = pd.concat([b.to_pandas() for b in out]).fillna({"value": "none"}).groupby(["l", "column", "value"])[["n", "x"]].sum()
+    far = [(d.a + 1) ** 2 + 0.5 * (d.c != "v1"), (d.a - 2) ** 2 + 0.5 * d.c.notna()]
+    at = np.where(far[1] < far[0], 1, 0)
+    plain = d.c.fillna("none").groupby([at, d.c.fillna("none")]).size()
+    assert {k: n for (l, c, k), n in got.n.items() if c == "c0" and l == 1} == plain[1].to_dict()
+    assert {k: n for (l, c, k), n in got.n.items() if c == "c0" and l == 0} == plain[0].to_dict()
+    assert got.x[1, "n0", "none"] == pytest.approx(d.a[at == 1].sum()) and got.n[0, "n0", "none"] == (at == 0).sum()
