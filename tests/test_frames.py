@@ -107,3 +107,25 @@ def test_checkpoint_leaves_no_shuffle_files(spark):
     assert spark.conf.get(fr.CLEANUP_KEY) == was
     assert sorted(kept.collect()) == sorted(df.collect()) and kept.count() == 7
     assert {r.component for r in parts.collect()} == {0, 21}
+
+
+def test_few_links_take_few_tasks(spark):
+    """However many shuffle partitions there are: a round took one task for
+    each, several times."""
+    keys = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    links = fr.checkpointed(spark.createDataFrame([(i, i + 1) for i in range(90) if i % 30 != 29], "a long, b long"))
+    tracker, name = spark.sparkContext.statusTracker(), "few-links"
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup(name, name)
+        parts = components(links)
+        stages = {s for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {(r.node, r.component) for r in parts.collect()} == {(i, i // 30 * 30) for i in range(90)}
+    assert 0 < tasks < 800
